@@ -131,9 +131,9 @@ select k.copy * 1000000000 + d.row_id as ordinal, concat('https://user@example.o
  case d.row_id % 5 when 0 then d.name || ' caf' || chr(92) || 'u00e9' when 1 then d.name || ' &amp; Co &#038; Sons' when 2 then d.name || ' a' || chr(92) || '/b' when 3 then '   ' else d.name end as name,
  case d.row_id % 6 when 0 then ' - ' when 1 then d.road || chr(10) || 'x  y  z' else d.road end as street,
  case when d.row_id % 13 = 0 then '...' else d.locality end as locality,
- d.postcode as "postalCode", d.region as region,
+ d.postcode as postal_code, d.region as region,
  case when d.row_id % 3 = 0 then d.country_code else d.country end as country,
- cast(d.row_id as varchar(20)) as "postOfficeBoxNumber"
+ cast(d.row_id as varchar(20)) as po_box
 from d2 d cross join (select 0 as copy union all select 1 as copy) k where k.copy = 0 or d.row_id % 7 = 0
 """
 
@@ -174,9 +174,7 @@ def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
     for table in TABLES:
         spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
-    text = ctes(name).replace('"postalCode"', "`postalCode`")
-    text = text.replace('"postOfficeBoxNumber"', "`postOfficeBoxNumber`")
-    return spark.sql(f"{text} select * from {name}")
+    return spark.sql(f"{ctes(name)} select * from {name}")
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:

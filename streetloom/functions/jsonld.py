@@ -25,7 +25,7 @@ _REGIONS = (
     r"""|<script(?=[\s/>])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>.*?(?:</script(?=[\s/>])|\z)"""
 )
 _OPEN_TAG = r"""(?is)^<script((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
-_BODY = r"""(?is)^<script(?:[^>"']++|"[^"]*+"|'[^']*+')*+>(.*?)(?:</script(?=[\s/>])|\z)"""
+_BODY = r"""(?is)^<script(?:[^>"']++|"[^"]*+"|'[^']*+')*+>(.*?)(?:</script)?\z"""
 _PLUS = r"(?:\+|&#43;|&#[xX]2[bB];)"
 _LD_ATTRIBUTE = (
     r"""^(?:[^"'=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*?[\s"'/](?i:type)\s*=\s*"""
@@ -34,6 +34,11 @@ _LD_ATTRIBUTE = (
 )
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it several times in ``body``."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def script_texts(page: Column) -> Column:
     """Texts of all JSON-LD scripts of a page, in page order, empty ones left out."""
     clean = F.replace(page, F.lit("\0"), F.lit(""))
@@ -90,9 +95,12 @@ def _parse_wrapped(text: Column) -> Column:
     """
     mark = F.xxhash64(text).cast("string")
     wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))
-    items = F.try_variant_get(wrapped, "$", "array<variant>")
-    whole = (F.size(items) == 2) & (F.try_variant_get(items[1], "$", "string") == mark)
-    return F.when(whole, items[0])
+
+    def only_item(items: Column) -> Column:
+        whole = (F.size(items) == 2) & (F.try_variant_get(items[1], "$", "string") == mark)
+        return F.when(whole, items[0])
+
+    return _let(F.try_variant_get(wrapped, "$", "array<variant>"), only_item)
 
 
 def parse_json(text: Column) -> Column:
@@ -119,9 +127,11 @@ def parse_json(text: Column) -> Column:
         ),
         "",
     )
-    plain = _parse_wrapped(text)
-    return F.when(plain.isNotNull(), plain).when(
-        text.rlike("NaN|Infinity"), _parse_wrapped(worded)
+    return _let(
+        _parse_wrapped(text),
+        lambda plain: F.when(plain.isNotNull(), plain).when(
+            text.rlike("NaN|Infinity"), _parse_wrapped(worded)
+        ),
     )
 
 
@@ -141,8 +151,7 @@ def as_object(value: Column) -> Column:
 
 def _rounds(value: Column) -> Column:
     """1..number of opening brackets: at least as many rounds as the tree has levels."""
-    text = F.to_json(value)
-    openers = F.length(text) - F.length(F.translate(text, "{[", ""))
+    openers = F.length(F.regexp_replace(F.to_json(value), r"[^{\[]+", ""))
     return F.sequence(F.lit(1), F.greatest(openers, F.lit(1)))
 
 
@@ -193,21 +202,31 @@ def is_falsy(value: Column) -> Column:
 
 
 def _scalar_text(value: Column, blank_as_null: bool) -> Column:
-    kind = F.schema_of_variant(value)
-    text = F.try_variant_get(value, "$", "string")
     number = F.try_variant_get(value, "$", "double")
-    digits = F.length(F.regexp_replace(text, r"\D", ""))
-    whole = number.cast("decimal(20,0)").cast("string")
-    string = F.when(~text.rlike(r"^\s*$"), text) if blank_as_null else text
-    return (
-        F.when(kind == "STRING", string)
-        .when(kind == "BOOLEAN", F.initcap(text))
-        # a decimal without fraction digits was written as 5.0: integers are BIGINT up to 18 digits
-        .when(kind.startswith("DECIMAL") & ~text.contains(".") & (digits <= 18), F.concat(text, F.lit(".0")))
-        .when(kind.startswith("DECIMAL") & text.contains(".") & (digits > 15), number.cast("string"))
-        .when((kind == "DOUBLE") & (F.abs(number) < 1e16) & (number == F.floor(number)), F.concat(whole, F.lit(".0")))
-        .when(~kind.startswith("OBJECT") & ~kind.startswith("ARRAY"), text)
+
+    def written(seen: Column) -> Column:
+        kind, text = seen["kind"], seen["text"]
+        decimal = kind.startswith("DECIMAL")
+        digits = F.length(F.regexp_replace(text, r"\D", ""))
+        return (
+            F.when(kind == "STRING", F.when(~text.rlike(r"^\s*$"), text) if blank_as_null else text)
+            .when(kind == "BIGINT", text)
+            .when(kind == "BOOLEAN", F.initcap(text))
+            # integers are BIGINT up to 18 digits, so this decimal was written as 5.0
+            .when(decimal & ~text.contains(".") & (digits <= 18), F.concat(text, F.lit(".0")))
+            .when(decimal & text.contains(".") & (digits > 15), number.cast("string"))
+            .when(
+                (kind == "DOUBLE") & (F.abs(number) < 1e16) & (number == F.floor(number)),
+                F.concat(number.cast("decimal(20,0)").cast("string"), F.lit(".0")),
+            )
+            .when(~kind.startswith("OBJECT") & ~kind.startswith("ARRAY"), text)
+        )
+
+    seen = F.struct(
+        F.schema_of_variant(value).alias("kind"),
+        F.try_variant_get(value, "$", "string").alias("text"),
     )
+    return _let(seen, written)
 
 
 def value_text(value: Column, blank_as_null: bool = False) -> Column:
@@ -249,3 +268,14 @@ def value_text(value: Column, blank_as_null: bool = False) -> Column:
     return F.when(nested, F.aggregate(_rounds(value), start, step, finish)).otherwise(
         _scalar_text(value, blank_as_null)
     )
+
+
+def value_texts(values: dict[str, Column], blank_as_null: bool = False) -> Column:
+    """struct of the texts of several dynamic values; the rules appear in the plan only once."""
+    texts = F.transform(
+        F.array(*values.values()), lambda value: value_text(value, blank_as_null)
+    )
+    return _let(
+        texts,
+        lambda t: F.struct(*[F.get(t, F.lit(i)).alias(name) for i, name in enumerate(values)]),
+    )

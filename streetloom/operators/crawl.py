@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streetloom.functions import content, jsonld
+from streetloom.operators.tables import bind
 
 
 def html_responses(records: DataFrame, ignore_case: bool = False) -> DataFrame:
@@ -37,11 +38,11 @@ def crawl_metadata() -> Column:
 
 def decode_bodies(records: DataFrame) -> DataFrame:
     """Replace the body bytes by text in ``data``; unknown charsets are marked."""
-    charset = content.charset(F.col("http_content_type"))
-    decoded = records.withColumn("decoded", content.decode_body(F.col("body"), charset))
-    return decoded.select(
+    named = bind(records, {"charset": content.charset(F.col("http_content_type"))})
+    decoded = named.withColumn("decoded", content.decode_body(F.col("body"), F.col("charset")))
+    return bind(decoded, {"decoded": F.col("decoded")}).select(
         *[c for c in records.columns if c != "body"],
-        charset.alias("charset"),
+        "charset",
         F.col("decoded.known").alias("charset_known"),
         F.col("decoded.text").alias("data"),
         crawl_metadata(),
@@ -81,8 +82,8 @@ def ld_json_scripts(pages: DataFrame, column: str = "data", parser: bool = False
 def json_records(records: DataFrame, column: str = "data") -> DataFrame:
     """Parse the text to a variant; rows that are not one JSON document are dropped."""
     others = [c for c in records.columns if c != column]
-    parsed = records.select(*others, jsonld.parse_json(F.col(column)).alias(column))
-    return parsed.where(F.col(column).isNotNull())
+    parsed = F.array_compact(F.array(jsonld.parse_json(F.col(column))))
+    return records.select(*others, F.explode(parsed).alias(column))
 
 
 def windowed_pages(records: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streetloom.functions.address import match_text, split_street
+from streetloom.operators.tables import bind
 
 # What must agree besides the location, from most to least telling, and how the location
 # may be given.
@@ -52,18 +53,14 @@ def place_index(places: DataFrame) -> DataFrame:
     The index depends on the places only; for repeated use write it as a table bucketed by
     ``key`` and pass it to :func:`geocode`.
     """
-    matched = places.select(
+    countries = F.array(F.lit(""), match_text(F.col("country")), match_text(F.col("country_code")))
+    matched = bind(places, {f"m_{f}": match_text(F.col(f)) for f in _FIELDS}).select(
         "place_id",
-        F.array_distinct(
-            F.array_compact(
-                F.array(F.lit(""), match_text(F.col("country")), match_text(F.col("country_code")))
-            )
-        ).alias("countries"),
-        *[match_text(F.col(f)).alias(f"m_{f}") for f in _FIELDS],
+        F.explode(F.array_distinct(F.array_compact(countries))).alias("m_country"),
+        *[f"m_{f}" for f in _FIELDS],
     )
-    keys = matched.select(
-        "place_id", F.explode("countries").alias("m_country"), *[f"m_{f}" for f in _FIELDS]
-    ).select("place_id", F.explode(_level_keys(F.col("m_country"), "m_")).alias("k"))
+    keys = matched.select("place_id", F.explode_outer(_level_keys(F.col("m_country"), "m_")).alias("k"))
+    keys = keys.where(F.col("k").isNotNull())
     return keys.groupBy(F.col("k.key").alias("key")).agg(F.min("place_id").alias("place_id"))
 
 
@@ -77,25 +74,28 @@ def geocode(
     country_code.  All query rows are kept.
     """
     index = place_index(places) if index is None else index
-    parts = split_street(F.col("street"))
+    split = bind(queries, {"_parts": split_street(F.col("street"))})
     asked = {
         "name": F.col("name"),
-        "road": parts["road"],
-        "house_number": parts["house"],
+        "road": F.col("_parts.road"),
+        "house_number": F.col("_parts.house"),
         "postcode": F.col("postalcode"),
         "locality": F.col("city"),
         "region": F.col("state"),
         "country": F.col("country"),
     }
-    with_id = queries.withColumns({f"q_{f}": match_text(c) for f, c in asked.items()})
+    with_id = bind(split, {f"q_{f}": match_text(c) for f, c in asked.items()}).drop("_parts")
     same = F.concat_ws(_SEP, *[F.coalesce(F.col(f"q_{f}"), F.lit("\0")) for f in asked])
     with_id = with_id.withColumn("query_id", F.md5(same))
 
     distinct = with_id.select("query_id", *[f"q_{f}" for f in asked]).dropDuplicates(["query_id"])
     wanted = distinct.select(
         "query_id",
-        F.explode(_level_keys(F.coalesce(F.col("q_country"), F.lit("")), "q_")).alias("k"),
-    ).select("query_id", F.col("k.level").alias("match_level"), F.col("k.key").alias("key"))
+        F.explode_outer(_level_keys(F.coalesce(F.col("q_country"), F.lit("")), "q_")).alias("k"),
+    ).where(F.col("k").isNotNull())
+    wanted = wanted.select(
+        "query_id", F.col("k.level").alias("match_level"), F.col("k.key").alias("key")
+    )
     best = (
         wanted.join(index, "key")
         .groupBy("query_id")

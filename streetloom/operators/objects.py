@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streetloom.functions import jsonld
+from streetloom.operators.tables import bind
 from streetloom.schemas import QUERY_FIELDS
 
 # Where the parts of an address query stand in a JSON-LD object.
@@ -62,14 +63,14 @@ def address_query(objects: DataFrame, column: str = "data") -> DataFrame:
     values = {"name": F.when(jsonld.is_falsy(name), legal).otherwise(name)}
     values |= {part: jsonld.field(node, path) for part, path in ADDRESS_PATHS.items()}
     query = F.struct(*[values[f].alias(f) for f in QUERY_FIELDS])
-    return objects.withColumn("address_query", query)
+    return bind(objects, {"address_query": query})
 
 
 def normalised_query(queries: DataFrame) -> DataFrame:
     """Add the six query parts as text columns; blank text becomes null."""
-    return queries.withColumns(
-        {f: jsonld.value_text(F.col(f"address_query.{f}"), True) for f in QUERY_FIELDS}
-    )
+    parts = {f: F.col(f"address_query.{f}") for f in QUERY_FIELDS}
+    texts = bind(queries, {"_texts": jsonld.value_texts(parts, blank_as_null=True)})
+    return texts.select(*queries.columns, "_texts.*")
 
 
 def query_params(queries: DataFrame) -> DataFrame:
@@ -87,7 +88,7 @@ def query_params(queries: DataFrame) -> DataFrame:
         F.map_entries("params"), lambda e: F.concat(e["key"], F.lit("="), F.url_encode(e["value"]))
     )
     return (
-        queries.withColumn("params", params)
+        bind(queries, {"params": params})
         .where(F.size("params") > 0)
         .withColumn("request", F.concat_ws("&", F.lit(fixed), F.array_join(encoded, "&")))
     )

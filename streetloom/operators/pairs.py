@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streetloom.functions import address, jsonld
+from streetloom.operators.tables import bind
 from streetloom.schemas import PAIR_COLUMNS, TARGET_COLUMNS
 
 # Which part of the geocoder's answer fills which target column.
@@ -23,31 +24,28 @@ TARGET_PARTS = {
 QUERY_PARTS = ["name", "street", "city", "state", "country", "postalcode"]
 
 
-def _text_of(df: DataFrame, path: str) -> Column:
-    kind = df.select(path).schema[0].dataType
-    return jsonld.value_text(F.col(path)) if isinstance(kind, T.VariantType) else F.col(path)
-
-
 def flatten_pairs(triples: DataFrame) -> DataFrame:
     """Six query columns and eight target columns as text; triples without an answer are left out.
 
     Columns of the input besides the triple are kept.
     """
     others = [c for c in triples.columns if c not in ("osm", "crawl", "address_query")]
-    return triples.where(F.col("osm").isNotNull()).select(
+    sources = {c: f"address_query.{c}" for c in QUERY_PARTS}
+    sources |= {t: f"osm.properties.geocoding.{part}" for t, part in TARGET_PARTS.items()}
+    kinds = dict(zip(sources, triples.select(*sources.values()).schema))
+    dynamic = {c: F.col(p) for c, p in sources.items() if isinstance(kinds[c].dataType, T.VariantType)}
+    answered = triples.where(F.col("osm").isNotNull())
+    if dynamic:
+        answered = bind(answered, {"_texts": jsonld.value_texts(dynamic)})
+    return answered.select(
         *others,
-        *[_text_of(triples, f"address_query.{c}").alias(c) for c in QUERY_PARTS],
-        *[
-            _text_of(triples, f"osm.properties.geocoding.{part}").alias(target)
-            for target, part in TARGET_PARTS.items()
-        ],
+        *[F.col(f"_texts.{c}" if c in dynamic else p).alias(c) for c, p in sources.items()],
     )
 
 
 def split_street_column(df: DataFrame) -> DataFrame:
     """Replace ``street`` by its road and add ``house``."""
-    parts = address.split_street(F.col("street"))
-    return df.withColumn("_parts", parts).withColumns(
+    return bind(df, {"_parts": address.split_street(F.col("street"))}).withColumns(
         {"street": F.col("_parts.road"), "house": F.col("_parts.house")}
     ).drop("_parts")
 

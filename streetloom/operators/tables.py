@@ -7,6 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+def bind(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that are evaluated once, whatever later steps do with them.
+
+    Plain projections are merged into their consumers, which copies a long expression to
+    every place that uses it.  A one-element ``inline`` keeps it where it is.
+    """
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    others = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    return df.select(*others, F.inline(F.array(row)))
+
+
 _BUCKET_DIGITS = 4  # 16 ** 4 buckets of the content hash
 
 
@@ -72,10 +83,14 @@ def row_index(
     before = Window.partitionBy(*within).orderBy("_range")
     before = before.rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(
-        *keys, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start")
+        *[F.col(k).alias(f"{k}_") for k in keys],
+        F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"),
     )
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
-    placed = ranged.join(starts, keys)
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}_"))
+    placed = ranged.join(starts, same)
     return placed.select(*df.columns, (F.col("_start") + rank - 1).alias("row_index"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streetloom.functions import content, jsonld
-from streetloom.operators import counters, crawl
+from streetloom.operators import counters, crawl, tables
 from streetloom.session import scratch_path
 from streetloom.sources import archive, files, manifest
 
@@ -26,27 +26,29 @@ def page_results(scan: DataFrame) -> DataFrame:
     without a second pass over the archives.
     """
     header = F.col("http_content_type")
-    charset = content.charset(header)
     page = (F.col("rec_type") == "response") & content.is_markup(content.media_type(header))
-    decoded = scan.withColumn(
-        "decoded", content.decode_body(F.when(page, F.col("body")), F.when(page, charset))
-    ).withColumn("data", F.col("decoded.text"))
-    mentions = F.lower("data").contains("postaladdress")
-    marked = decoded.withColumn("is_json", F.when(mentions, jsonld.is_json(F.col("data"))))
+    named = tables.bind(scan, {"charset": F.when(page, content.charset(header)), "page": page})
+    decoded = named.withColumn(
+        "decoded", content.decode_body(F.when(F.col("page"), F.col("body")), F.col("charset"))
+    )
+    mentions = F.lower(F.col("decoded.text")).contains("postaladdress")
+    hits = tables.bind(decoded, {"hit": F.when(mentions, F.col("decoded.text"))})
+    judged = tables.bind(hits, {"is_json": jsonld.is_json(F.col("hit"))})
     texts = F.filter(
-        jsonld.script_texts(F.when(mentions & ~F.col("is_json"), F.col("data"))),
+        jsonld.script_texts(F.when(~F.col("is_json"), F.col("hit"))),
         lambda text: F.lower(text).contains("postaladdress"),
     )
+    unknown = F.concat(F.lit("error/charset_unknown/"), F.col("charset"))
     keys = F.concat(
         counters.record_keys(),
         F.array_compact(
             F.array(
-                F.when(~F.col("decoded.known"), F.concat(F.lit("error/charset_unknown/"), charset)),
+                F.when(F.col("page") & ~F.col("decoded.known"), unknown),
                 F.when(F.col("is_json"), F.lit("error/parsel/not_html")),
             )
         ),
     )
-    return marked.select(
+    return judged.select(
         "file_id",
         "ordinal",
         crawl.crawl_metadata(),
@@ -63,10 +65,9 @@ def result_records(results: DataFrame) -> DataFrame:
 
 def result_counters(results: DataFrame) -> DataFrame:
     counted = counters.count_keys(results, F.col("keys"))
-    texts = results.select("file_id", F.explode("texts").alias("text"))
-    failed = F.when(
-        jsonld.parse_json(F.col("text")).isNull(), F.array(F.lit("error/json/decode_error"))
-    )
+    texts = results.select("file_id", F.explode_outer("texts").alias("text"))
+    bad = F.col("text").isNotNull() & jsonld.parse_json(F.col("text")).isNull()
+    failed = F.array_compact(F.array(F.when(bad, F.lit("error/json/decode_error"))))
     return counters.add_counters(counted, counters.count_keys(texts, failed))
 
 

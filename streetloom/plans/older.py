@@ -54,10 +54,9 @@ def flatten_lists(df: DataFrame, column: str) -> DataFrame:
 
 def address_rows(objects: DataFrame, url: str = "crawl_metadata.url") -> DataFrame:
     """Flat text columns of objects with an address."""
-    return objects.select(
-        *[jsonld.value_text(jsonld.field(F.col("data"), p)).alias(c) for c, p in FLAT_PATHS.items()],
-        F.col(url).alias("url"),
-    )
+    values = {c: jsonld.field(F.col("data"), path) for c, path in FLAT_PATHS.items()}
+    texts = tables.bind(objects, {"_texts": jsonld.value_texts(values)})
+    return texts.select("_texts.*", F.col(url).alias("url"))
 
 
 def clean_rows(rows: DataFrame, order: Sequence[str] = ("url",)) -> DataFrame:

@@ -12,7 +12,13 @@ from streetloom.schemas import PAIR_SCHEMA, RECORD_SCHEMA, strings
 
 # A text no address holds, so that null and empty text stay apart in CSV files.
 CSV_NULL = "\\N"
-CSV_OPTIONS = {"header": "true", "nullValue": CSV_NULL, "escape": '"'}
+CSV_OPTIONS = {
+    "header": "true",
+    "nullValue": CSV_NULL,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def write_records(records: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -61,12 +67,23 @@ def write_csv(table: DataFrame, path: str, mode: str = "errorifexists") -> None:
     table.write.mode(mode).options(emptyValue='""', **CSV_OPTIONS).csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, columns: Sequence[str], row_id: bool = True) -> DataFrame:
-    """CSV with text columns, and the row number that aligns value and target files."""
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    columns: Sequence[str],
+    row_id: bool = True,
+    multi_line: bool = False,
+) -> DataFrame:
+    """CSV with text columns, and the row number that aligns value and target files.
+
+    ``multi_line`` is needed for values with line breaks; such files are not split.
+    """
     fields = list(strings(*columns).fields)
     if row_id:
         fields = [T.StructField("row_id", T.LongType()), *fields]
-    return spark.read.schema(T.StructType(fields)).options(emptyValue="", **CSV_OPTIONS).csv(path)
+    return spark.read.schema(T.StructType(fields)).options(
+        emptyValue="", multiLine=str(multi_line).lower(), **CSV_OPTIONS
+    ).csv(path)
 
 
 def read_outside_csv(
