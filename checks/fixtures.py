@@ -137,6 +137,23 @@ select k.copy * 1000000000 + d.row_id as ordinal, concat('https://user@example.o
 from d2 d cross join (select 0 as copy union all select 1 as copy) k where k.copy = 0 or d.row_id % 7 = 0
 """
 
+# Answers of the older look-up, flat; every tenth address has none.
+_D12 = """
+select row_id as join_index, case when row_id % 10 = 9 then null else row_id end as osm_id,
+ case row_id % 3 when 0 then 'way' when 1 then 'node' else 'relation' end as osm_type,
+ concat(cast(row_id % 90 as varchar(20)), '.5') as lat, concat(cast(row_id % 180 as varchar(20)), '.25') as lon,
+ case when row_id % 4 = 0 then '' else name end as name, '30' as place_rank,
+ case when row_id % 5 = 0 then concat('Q', cast(row_id as varchar(20))) end as wikidata,
+ house_number, road, postcode, country, country_code,
+ case when row_id % 4 = 0 then null when row_id % 4 = 1 then '' else locality end as city,
+ case when row_id % 3 = 0 then null when row_id % 4 = 1 then null else region end as town,
+ case when row_id % 6 = 0 then null else locality || ' Old' end as village,
+ case when row_id % 12 = 0 then null else country end as county,
+ case when row_id % 8 = 0 then null else region end as state,
+ case when row_id % 7 = 0 then null else 'Region-' || locality end as state_district
+from d1
+"""
+
 _FIXTURES = {
     "d1": (_D1, []),
     "d2": (_D2, ["d1"]),
@@ -150,6 +167,7 @@ _FIXTURES = {
     "d10": (_D10, ["d1", "d2"]),
     "d10q": (_D10Q, ["d1", "d2"]),
     "d11": (_D11, ["d1", "d2"]),
+    "d12": (_D12, ["d1"]),
 }
 
 

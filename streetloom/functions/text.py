@@ -101,8 +101,3 @@ def html_unescape(text: Column) -> Column:
     """Resolve HTML entities in text that holds ``&``."""
     hit = text.contains("&")
     return F.when(hit, _html_unescape(F.when(hit, text))).otherwise(text)
-
-
-def clean_text(text: Column) -> Column:
-    """Slashes, unicode escapes, entities, white space, in this order; blank becomes null."""
-    return clean_whitespace(html_unescape(unicode_unescape(unescape_slashes(text))))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from streetloom.functions import address, jsonld, text
 from streetloom.functions.similarity import nearest_candidate
-from streetloom.operators import tables
+from streetloom.operators import cleaning, tables
 
 # Columns of the flat rows and where they stand in a JSON-LD object.
 FLAT_PATHS = {
@@ -64,12 +64,9 @@ def clean_rows(rows: DataFrame, order: Sequence[str] = ("url",)) -> DataFrame:
 
     Copies are rows that agree in all but ``url``; the first by ``order`` stays.
     """
-
-    def cleaned(c):
-        c = text.html_unescape(text.unicode_unescape(text.unescape_slashes(c)))
-        return text.blank_to_null(c)
-
-    tidy = tables.map_strings(rows.drop("postOfficeBoxNumber"), cleaned, exclude=["url"])
+    kept = rows.drop("postOfficeBoxNumber")
+    plain = cleaning.unescape(kept, tables.string_columns(kept, exclude=["url"]))
+    tidy = tables.map_strings(plain, text.blank_to_null, exclude=["url"])
     usable = tidy.where(text.has_alnum(F.col("locality")) & text.has_alnum(F.col("street")))
     flat = tables.map_strings(usable, text.collapse_first_space)
     return tables.dedupe_keep_first(flat, ignore=["url"], order=list(order))
@@ -109,8 +106,8 @@ def align_validated(rows: DataFrame) -> DataFrame:
     found = tables.select_existing(rows.na.drop(subset=["`osm:osm_id`"]), KEPT_COLUMNS)
     keyed = found.withColumn("hash", address.address_key(*map(F.col, KEY_COLUMNS)))
     linked = unpack_wikidata(keyed) if "osm:extratags" in keyed.columns else keyed
-    parts = address.split_street(F.col("street"))
-    typed = typed_columns(linked.withColumn("_parts", parts)).withColumns(
+    split = tables.bind(linked, {"_parts": address.split_street(F.col("street"))})
+    typed = typed_columns(split).withColumns(
         {
             "parsed:road": F.col("_parts.road"),
             "parsed:house_number": F.col("_parts.house"),
