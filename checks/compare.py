@@ -28,6 +28,7 @@ def session(cpus: str = "8", partitions: str = "8") -> SparkSession:
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

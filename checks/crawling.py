@@ -280,7 +280,8 @@ LOOKUP = ctes("d4", "d10q", asked=_ASKED, places=_PLACES, matches=_MATCHES, best
 )
 def geocode_join(spark, sf):
     normal = objects.normalised_query(queries_of(spark, sf))
-    return geocode.geocode(normal, frame(spark, sf, "d4")).select(
+    stage = scratch_path(spark, "queries")
+    return geocode.geocode(normal, frame(spark, sf, "d4"), stage=stage).select(
         "row_id",
         "match_level",
         "place_id",
@@ -298,7 +299,8 @@ def geocode_join(spark, sf):
 from d10q q left join best b on b.row_id = q.row_id left join d4 p on p.place_id = b.place_id""",
 )
 def validate_triples(spark, sf):
-    done = validate.validate_triples(documents(spark, sf), frame(spark, sf, "d4"))
+    stage = scratch_path(spark, "queries")
+    done = validate.validate_triples(documents(spark, sf), frame(spark, sf, "d4"), stage=stage)
     return done.select(
         F.col("crawl.crawl_metadata.url").alias("url"),
         *[jsonld.value_text(F.col(f"address_query.{p}")).alias(p) for p in ["name", "street", "city"]],

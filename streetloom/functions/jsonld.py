@@ -26,12 +26,8 @@ _REGIONS = (
 )
 _OPEN_TAG = r"""(?is)^<script((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
 _BODY = r"""(?is)^<script(?:[^>"']++|"[^"]*+"|'[^']*+')*+>(.*?)(?:</script)?\z"""
-_PLUS = r"(?:\+|&#43;|&#[xX]2[bB];)"
-_LD_ATTRIBUTE = (
-    r"""^(?:[^"'=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*?[\s"'/](?i:type)\s*=\s*"""
-    rf"""(?:"application/ld{_PLUS}json"|'application/ld{_PLUS}json'"""
-    rf"""|application/ld{_PLUS}json(?=\s|$))"""
-)
+_ATTRIBUTE = r"""([^\s=>"'/]+)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+_PLUS_ENTITY = "&#(?:43|[xX]2[bB]);"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -44,9 +40,17 @@ def script_texts(page: Column) -> Column:
     clean = F.replace(page, F.lit("\0"), F.lit(""))
     regions = F.regexp_extract_all(clean, F.lit(_REGIONS), F.lit(0))
 
+    def script_type(region: Column) -> Column:
+        """Value of the first ``type`` attribute."""
+        attributes = F.regexp_extract(region, _OPEN_TAG, 1)
+        names = F.regexp_extract_all(F.lower(attributes), F.lit(_ATTRIBUTE), F.lit(1))
+        values = F.regexp_extract_all(attributes, F.lit(_ATTRIBUTE), F.lit(2))
+        value = F.get(values, F.array_position(names, "type").cast("int") - 1)
+        return F.regexp_replace(F.regexp_replace(value, "^[\"']|[\"']$", ""), _PLUS_ENTITY, "+")
+
     def is_json_ld(region: Column) -> Column:
-        return ~region.startswith("<!--") & F.regexp_extract(region, _OPEN_TAG, 1).rlike(
-            _LD_ATTRIBUTE
+        return ~region.startswith("<!--") & F.coalesce(
+            script_type(region) == JSON_LD_TYPE, F.lit(False)
         )
 
     bodies = F.transform(

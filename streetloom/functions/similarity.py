@@ -82,6 +82,14 @@ def within_two_edits(left: Column, right: Column) -> Column:
 
 def edit_distance(a: str, b: str) -> int:
     """Unrestricted Damerau-Levenshtein distance of two texts."""
+    start = 0
+    while start < len(a) and start < len(b) and a[start] == b[start]:
+        start += 1
+    a, b = a[start:], b[start:]
+    while a and b and a[-1] == b[-1]:
+        a, b = a[:-1], b[:-1]
+    if not a or not b:
+        return len(a) + len(b)
     last_row: dict[str, int] = {}
     far = len(a) + len(b)
     width = len(b) + 2
@@ -108,7 +116,16 @@ def edit_distance(a: str, b: str) -> int:
 @F.pandas_udf(T.StringType())
 def _nearest_exact(query: pd.Series, candidates: pd.Series) -> pd.Series:
     def pick(q, options):
-        return None if q is None else min(options, key=lambda o: edit_distance(q, o))
+        if q is None:
+            return None
+        best = nearest = None
+        for option in options:
+            # no distance is smaller than the difference in length
+            if best is None or abs(len(q) - len(option)) < best:
+                distance = edit_distance(q, option)
+                if best is None or distance < best:
+                    best, nearest = distance, option
+        return nearest
 
     return pd.Series([pick(q, c) for q, c in zip(query, candidates)], dtype=object)
 
@@ -116,9 +133,9 @@ def _nearest_exact(query: pd.Series, candidates: pd.Series) -> pd.Series:
 def _nearest(query: Column, candidates: Sequence[Column]) -> Column:
     """The candidate with the least edit distance, the first one on ties.
 
-    D lies between half of the Levenshtein distance and the distance itself.  Where these
-    bounds already single out one candidate the answer is native; only the rows they leave
-    open send their texts to Python.
+    D lies between half of the Levenshtein distance and the distance itself, and is never
+    less than the difference in length.  Where these bounds already single out one candidate
+    the answer is native; only the rows they leave open send their texts to Python.
     """
     options = F.filter(F.array(*candidates), lambda c: c.isNotNull())
     scored = F.transform(
@@ -126,7 +143,10 @@ def _nearest(query: Column, candidates: Sequence[Column]) -> Column:
         lambda c, i: F.struct(
             F.coalesce(F.levenshtein(query, c), F.lit(0)).alias("high"),
             i.alias("pos"),
-            F.ceil(F.coalesce(F.levenshtein(query, c), F.lit(0)) / 2).alias("low"),
+            F.greatest(
+                F.ceil(F.coalesce(F.levenshtein(query, c), F.lit(0)) / 2),
+                F.abs(F.length(query) - F.length(c)),
+            ).alias("low"),
             c.alias("value"),
         ),
     )

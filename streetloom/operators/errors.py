@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streetloom.functions.similarity import ALIASES, ERROR_CLASSES, error_class
+from streetloom.operators.tables import bind
 from streetloom.schemas import DATASET_COLUMNS
 
 
@@ -28,11 +29,18 @@ def _columns(pairs: DataFrame) -> list[str]:
 
 
 def error_classes(pairs: DataFrame, aliases: Mapping[str, Sequence[str]] = ALIASES) -> DataFrame:
-    """One error class per cell, in the wide form."""
-    return pairs.select(
-        "row_id",
-        *[error_class(F.col(c), F.col(f"true_{c}"), aliases).alias(c) for c in _columns(pairs)],
+    """One error class per cell, in the wide form.
+
+    The rules run over an array of the cells, so that they are compiled once and not once per
+    column.
+    """
+    columns = _columns(pairs)
+    row = F.array(
+        *[F.struct(F.col(c).alias("value"), F.col(f"true_{c}").alias("truth")) for c in columns]
     )
+    classes = F.transform(row, lambda cell: error_class(cell["value"], cell["truth"], aliases))
+    judged = bind(pairs.select("row_id", classes.alias("_c")), {"_c": F.col("_c")})
+    return judged.select("row_id", *[F.col("_c")[i].alias(c) for i, c in enumerate(columns)])
 
 
 def cells(pairs: DataFrame) -> DataFrame:

@@ -34,17 +34,15 @@ _SEP = "\x1f"
 _FIELDS = ["name", "road", "house_number", "postcode", "locality", "region"]
 
 
-def _level_keys(country: Column, prefix: str) -> Column:
-    """Array of struct(level, key) for the levels whose fields are all present."""
+def _level_keys(df: DataFrame, kept: str, country: Column, prefix: str) -> DataFrame:
+    """One row (kept, match_level, key) per level whose fields are all present."""
     keys = []
     for level, fields in enumerate(LEVELS):
-        columns = [F.col(f"{prefix}{f}") for f in fields]
-        present = columns[0].isNotNull()
-        for c in columns[1:]:
-            present = present & c.isNotNull()
-        key = F.concat_ws(_SEP, F.lit(str(level)), country, *columns)
-        keys.append(F.when(present, F.struct(F.lit(level).alias("level"), key.alias("key"))))
-    return F.filter(F.array(*keys), lambda k: k.isNotNull())
+        # concat is null if any part is
+        parts = [p for f in fields for p in (F.lit(_SEP), F.col(f"{prefix}{f}"))]
+        key = F.concat(F.lit(f"{level}{_SEP}"), country, *parts)
+        keys.append(F.struct(F.lit(level).alias("match_level"), key.alias("key")))
+    return df.select(kept, F.inline(F.array(*keys))).where(F.col("key").isNotNull())
 
 
 def place_index(places: DataFrame) -> DataFrame:
@@ -59,19 +57,25 @@ def place_index(places: DataFrame) -> DataFrame:
         F.explode(F.array_distinct(F.array_compact(countries))).alias("m_country"),
         *[f"m_{f}" for f in _FIELDS],
     )
-    keys = matched.select("place_id", F.explode_outer(_level_keys(F.col("m_country"), "m_")).alias("k"))
-    keys = keys.where(F.col("k").isNotNull())
-    return keys.groupBy(F.col("k.key").alias("key")).agg(F.min("place_id").alias("place_id"))
+    keys = _level_keys(matched, "place_id", F.col("m_country"), "m_")
+    return keys.groupBy("key").agg(F.min("place_id").alias("place_id"))
 
 
 def geocode(
-    queries: DataFrame, places: DataFrame, index: DataFrame | None = None
+    queries: DataFrame,
+    places: DataFrame,
+    index: DataFrame | None = None,
+    stage: str | None = None,
 ) -> DataFrame:
     """Add ``osm`` (best place or null) and ``place_id``, ``match_level`` to each query.
 
     ``queries`` has the text columns name, street, city, postalcode, country, state; the
     places have place_id, name, house_number, road, postcode, locality, region, country,
     country_code.  All query rows are kept.
+
+    The queries are used twice: once to look up the distinct ones, once to receive the
+    answers.  With ``stage``, a folder not yet in use, they are written there first, so that
+    whatever produces them (parsing a crawl, say) runs only once.
     """
     index = place_index(places) if index is None else index
     split = bind(queries, {"_parts": split_street(F.col("street"))})
@@ -88,19 +92,19 @@ def geocode(
     same = F.concat_ws(_SEP, *[F.coalesce(F.col(f"q_{f}"), F.lit("\0")) for f in asked])
     with_id = with_id.withColumn("query_id", F.md5(same))
 
-    distinct = with_id.select("query_id", *[f"q_{f}" for f in asked]).dropDuplicates(["query_id"])
-    wanted = distinct.select(
-        "query_id",
-        F.explode_outer(_level_keys(F.coalesce(F.col("q_country"), F.lit("")), "q_")).alias("k"),
-    ).where(F.col("k").isNotNull())
-    wanted = wanted.select(
-        "query_id", F.col("k.level").alias("match_level"), F.col("k.key").alias("key")
-    )
+    if stage:
+        with_id.write.parquet(stage)
+        with_id = queries.sparkSession.read.parquet(stage)
+
+    distinct = with_id.select("query_id", *[f"q_{f}" for f in asked]).distinct()
+    wanted = _level_keys(distinct, "query_id", F.coalesce(F.col("q_country"), F.lit("")), "q_")
     best = (
         wanted.join(index, "key")
         .groupBy("query_id")
-        .agg(F.min(F.struct("match_level", "place_id")).alias("best"))
-        .select("query_id", "best.match_level", "best.place_id")
+        .agg(
+            F.min("match_level").alias("match_level"),
+            F.min_by("place_id", "match_level").alias("place_id"),
+        )
     )
     feature = F.struct(
         F.struct(

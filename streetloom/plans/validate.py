@@ -2,15 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from streetloom.operators import geocode, objects
+from streetloom.session import scratch_path
+from streetloom.sources import files
 
 
 def validate_triples(
-    records: DataFrame, places: DataFrame, index: DataFrame | None = None
+    records: DataFrame,
+    places: DataFrame,
+    index: DataFrame | None = None,
+    stage: str | None = None,
 ) -> DataFrame:
     """(osm, crawl, address_query) for every object with a postal address."""
     queries = objects.address_query(objects.address_objects(records))
-    looked_up = geocode.geocode(objects.normalised_query(queries), places, index)
+    looked_up = geocode.geocode(objects.normalised_query(queries), places, index, stage)
     return geocode.assemble_triples(looked_up)
+
+
+def run(
+    spark: SparkSession, extracted: str, places: DataFrame, out: str, index: DataFrame | None = None
+) -> None:
+    """Look up the addresses of extracted records and write the triples as gzip JSON."""
+    records = files.read_records(spark, extracted)
+    stage = scratch_path(spark, "queries")
+    files.write_records(validate_triples(records, places, index, stage), out)

@@ -10,13 +10,15 @@ from pyspark.sql import SparkSession
 # Needed for right results:
 #   - JSON objects with a repeated key keep the last value instead of failing.
 # Needed for speed at scale:
-#   - adaptive execution splits skewed join partitions and sizes shuffles;
+#   - adaptive execution splits skewed join partitions and sizes shuffles; the operators do
+#     much work per byte, so small shuffles are not merged into a few tasks;
 #   - page bodies are large, so Arrow batches are bounded by bytes as well as rows;
 #   - filters reach the archive reader, which then skips the bodies nobody asked for.
 SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
     "spark.sql.python.filterPushdown.enabled": "true",
