@@ -132,7 +132,7 @@ def read_cell_updates(spark: SparkSession, path: str, lines: bool = False) -> Da
     ]
     if lines:
         return spark.read.schema(T.StructType([T.StructField("ord", T.LongType()), *fields])).json(path)
-    text = spark.read.option("wholetext", "true").text(path)
+    text = spark.read.text(path, wholetext=True)
     listed = text.select(F.posexplode(F.from_json("value", T.ArrayType(T.StructType(fields)))))
     return listed.select(F.col("pos").cast("bigint").alias("ord"), "col.row", "col.col", "col.value")
 
