@@ -1,8 +1,8 @@
 """Column functions for JSON-LD: scripts in a page, strict parsing, walking a value tree.
 
 A parsed document is a ``variant`` column.  Trees are walked level by level with the
-``aggregate`` function: the number of rounds is bounded by the number of opening brackets
-in the text, so any nesting depth is covered inside one narrow stage.
+``aggregate`` function inside one narrow stage: a few rounds for the usual documents, and for
+deeper ones as many as there are opening brackets in the text, so any depth is covered.
 """
 
 from __future__ import annotations
@@ -153,16 +153,24 @@ def as_object(value: Column) -> Column:
     return F.try_variant_get(value, "$", "map<string,variant>")
 
 
-def _rounds(value: Column) -> Column:
-    """1..number of opening brackets: at least as many rounds as the tree has levels."""
-    openers = F.length(F.regexp_replace(F.to_json(value), r"[^{\[]+", ""))
-    return F.sequence(F.lit(1), F.greatest(openers, F.lit(1)))
+_USUAL_DEPTH = 12
 
 
-def _children(value: Column) -> Column:
-    return F.coalesce(
-        as_array(value), F.map_values(as_object(value)), F.array().cast("array<variant>")
-    )
+def _walk(
+    value: Column,
+    start: Column,
+    step: Callable[[Column, Column], Column],
+    unfinished: Callable[[Column], Column],
+) -> Column:
+    """Apply ``step`` level by level until nothing is left to open."""
+
+    def go_on(state: Column) -> Column:
+        openers = F.length(F.regexp_replace(F.to_json(value), r"[^{\[]+", ""))
+        rounds = F.sequence(F.lit(1), F.greatest(openers, F.lit(1)))
+        return F.when(unfinished(state), F.aggregate(rounds, state, step)).otherwise(state)
+
+    usual = F.array(*[F.lit(i) for i in range(_USUAL_DEPTH)])
+    return _let(F.aggregate(usual, start, step), go_on)
 
 
 def sub_objects(value: Column, condition: Callable[[Column], Column] | None = None) -> Column:
@@ -171,23 +179,33 @@ def sub_objects(value: Column, condition: Callable[[Column], Column] | None = No
     ``condition`` keeps only the objects it is true for and runs before anything is exploded.
     """
 
-    def keep(node: Column) -> Column:
-        is_object = as_object(node).isNotNull()
-        return is_object if condition is None else is_object & condition(node)
+    def opened(nodes: Column) -> Column:
+        """The lists and objects among the nodes, with what they hold."""
+        held = F.transform(
+            nodes,
+            lambda n: F.struct(
+                n.alias("node"), as_array(n).alias("items"), as_object(n).alias("members")
+            ),
+        )
+        return F.filter(held, lambda h: h["items"].isNotNull() | h["members"].isNotNull())
 
     def step(acc: Column, _: Column) -> Column:
-        below = F.flatten(F.transform(acc["front"], _children))
-        return F.when(F.size(acc["front"]) == 0, acc).otherwise(
-            F.struct(below.alias("front"), F.concat(acc["seen"], acc["front"]).alias("seen"))
+        front = acc["front"]
+        below = F.flatten(
+            F.transform(front, lambda h: F.coalesce(h["items"], F.map_values(h["members"])))
+        )
+        objects = F.transform(
+            F.filter(front, lambda h: h["members"].isNotNull()), lambda h: h["node"]
+        )
+        return F.when(F.size(front) == 0, acc).otherwise(
+            F.struct(opened(below).alias("front"), F.concat(acc["seen"], objects).alias("seen"))
         )
 
     start = F.struct(
-        F.array(value).alias("front"), F.array().cast("array<variant>").alias("seen")
-    )
-    walked = F.aggregate(
-        _rounds(value), start, step, lambda acc: F.concat(acc["seen"], acc["front"])
+        opened(F.array(value)).alias("front"), F.array().cast("array<variant>").alias("seen")
     )
-    return F.filter(walked, keep)
+    found = _walk(value, start, step, lambda acc: F.size(acc["front"]) > 0)["seen"]
+    return found if condition is None else F.filter(found, condition)
 
 
 def has_postal_address(node: Column) -> Column:
@@ -240,6 +258,9 @@ def value_text(value: Column, blank_as_null: bool = False) -> Column:
     list for its non-empty parts joined by ``", "`` (an empty list is the empty text).
     """
 
+    def nested(node: Column) -> Column:
+        return as_array(node).isNotNull() | as_object(node).isNotNull()
+
     def opened(node: Column) -> Column:
         return F.coalesce(
             as_array(node),
@@ -247,17 +268,16 @@ def value_text(value: Column, blank_as_null: bool = False) -> Column:
             F.array(node),
         )
 
+    def unfinished(acc: Column) -> Column:
+        return F.exists(acc["front"], lambda n: F.coalesce(nested(n), F.lit(False)))
+
     def step(acc: Column, _: Column) -> Column:
-        front = acc["front"]
-        closed = ~F.exists(
-            front, lambda n: F.coalesce(as_array(n).isNotNull() | as_object(n).isNotNull(), F.lit(False))
-        )
         lists = acc["list"] | F.exists(
-            front, lambda n: F.coalesce(as_array(n).isNotNull(), F.lit(False))
+            acc["front"], lambda n: F.coalesce(as_array(n).isNotNull(), F.lit(False))
         )
-        return F.when(closed, acc).otherwise(
+        return F.when(~unfinished(acc), acc).otherwise(
             F.struct(
-                F.flatten(F.transform(front, opened)).alias("front"),
+                F.flatten(F.transform(acc["front"], opened)).alias("front"),
                 F.coalesce(lists, F.lit(False)).alias("list"),
             )
         )
@@ -267,10 +287,15 @@ def value_text(value: Column, blank_as_null: bool = False) -> Column:
         joined = F.array_join(F.filter(parts, lambda p: p.isNotNull() & (p != "")), ", ")
         return F.when(acc["list"], joined).otherwise(F.get(parts, F.lit(0)))
 
-    nested = as_array(value).isNotNull() | as_object(value).isNotNull()
     start = F.struct(F.array(value).alias("front"), F.lit(False).alias("list"))
-    return F.when(nested, F.aggregate(_rounds(value), start, step, finish)).otherwise(
-        _scalar_text(value, blank_as_null)
+    text = F.try_variant_get(value, "$", "string")
+    return (
+        F.when(
+            F.schema_of_variant(value) == "STRING",
+            F.when(~text.rlike(r"^\s*$"), text) if blank_as_null else text,
+        )
+        .when(nested(value), _let(_walk(value, start, step, unfinished), finish))
+        .otherwise(_scalar_text(value, blank_as_null))
     )
 
 

@@ -73,11 +73,19 @@ def geocode(
     places have place_id, name, house_number, road, postcode, locality, region, country,
     country_code.  All query rows are kept.
 
-    The queries are used twice: once to look up the distinct ones, once to receive the
-    answers.  With ``stage``, a folder not yet in use, they are written there first, so that
-    whatever produces them (parsing a crawl, say) runs only once.
+    With ``stage``, a folder not yet in use, the queries, the index and the answers are
+    written there as tables and read back.  The queries are used twice, and whatever produces
+    them (parsing a crawl, say) then runs only once; and both joins read plain tables on both
+    sides, which lets adaptive execution split a key that many queries share.
     """
-    index = place_index(places) if index is None else index
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        if not stage:
+            return df
+        df.write.parquet(f"{stage}/{name}")
+        return df.sparkSession.read.parquet(f"{stage}/{name}")
+
+    index = stored(place_index(places), "index") if index is None else index
     split = bind(queries, {"_parts": split_street(F.col("street"))})
     asked = {
         "name": F.col("name"),
@@ -90,11 +98,7 @@ def geocode(
     }
     with_id = bind(split, {f"q_{f}": match_text(c) for f, c in asked.items()}).drop("_parts")
     same = F.concat_ws(_SEP, *[F.coalesce(F.col(f"q_{f}"), F.lit("\0")) for f in asked])
-    with_id = with_id.withColumn("query_id", F.md5(same))
-
-    if stage:
-        with_id.write.parquet(stage)
-        with_id = queries.sparkSession.read.parquet(stage)
+    with_id = stored(with_id.withColumn("query_id", F.md5(same)), "queries")
 
     distinct = with_id.select("query_id", *[f"q_{f}" for f in asked]).distinct()
     wanted = _level_keys(distinct, "query_id", F.coalesce(F.col("q_country"), F.lit("")), "q_")
@@ -121,6 +125,7 @@ def geocode(
         ).alias("properties")
     )
     answers = best.join(places.select("place_id", feature.alias("osm")), "place_id")
+    answers = stored(answers, "answers")
     return with_id.drop(*[f"q_{f}" for f in asked]).join(answers, "query_id", "left").drop("query_id")
 
 

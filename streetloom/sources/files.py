@@ -23,10 +23,12 @@ CSV_OPTIONS = {
 
 def write_records(records: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Gzip JSON lines, one folder per segment if the frame has one."""
-    writer = records.write.mode(mode).option("compression", "gzip")
-    if "segment" in records.columns:
-        writer = writer.partitionBy("segment")
-    writer.json(path)
+    if "segment" not in records.columns:
+        records.write.mode(mode).option("compression", "gzip").json(path)
+        return
+    # brings a segment together in files of even size, a large one in several
+    even = records.hint("rebalance", F.col("segment"))
+    even.write.mode(mode).option("compression", "gzip").partitionBy("segment").json(path)
 
 
 def read_records(
@@ -47,7 +49,8 @@ def read_records(
 
 def write_sections(pairs: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Pair table as Parquet, one folder per section."""
-    pairs.write.mode(mode).option("compression", "zstd").partitionBy("section").parquet(path)
+    even = pairs.hint("rebalance", F.col("section"))
+    even.write.mode(mode).option("compression", "zstd").partitionBy("section").parquet(path)
 
 
 def read_sections(spark: SparkSession, path: str) -> DataFrame:
