@@ -10,7 +10,6 @@ from checks.registry import query
 from streetloom import scratch_path
 from streetloom.functions import similarity
 from streetloom.operators import errors, repair, tables
-from streetloom.plans import report
 from streetloom.sources import files
 
 CELLS = ctes("d1", "d2", cells=sql.cells())
@@ -63,7 +62,7 @@ def error_counts_long(spark, sf):
     + " from classed group by column_name",
 )
 def error_matrix(spark, sf):
-    return report.error_report(frame(spark, sf, "d2"), frame(spark, sf, "d1"))["matrix"]
+    return errors.error_matrix(errors.cell_errors(pairs(spark, sf)))
 
 
 @query(

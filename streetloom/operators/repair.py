@@ -10,6 +10,7 @@ Null rules differ by measure and are kept as they are:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -190,6 +191,7 @@ def repair_report(
     """
     triples = repair_triples(truth, dirty, repairs, columns)
 
+    @cache
     def folded(prefix: str, c: str) -> Column:
         plain = _plain(prefix, c)
         if not lower_case_tools:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from streetloom.operators import errors, geocode, objects, pairs
-from streetloom.plans import pack, validate
+from streetloom.plans import pack, report, validate
 from streetloom.schemas import GEOCODING_FIELDS, PAIR_COLUMNS, RECORD_SCHEMA, TARGET_COLUMNS, TRIPLE_SCHEMA
 from streetloom.sources import files
 
@@ -207,3 +207,20 @@ def test_shares_of_classes_sum_to_one(spark):
     assert abs(sum(v for k, v in row.asDict().items() if k.endswith("share")) - 1) < 1e-12
     accuracy = errors.cell_accuracy(both).first()
     assert accuracy["total_cells"] == 9
+
+
+def test_reports(spark):
+    truth = spark.createDataFrame([(0, "Main Street", "x"), (1, "Oak", None)], "row_id long, road string, city string")
+    dirty = spark.createDataFrame([(0, "Main St", "X"), (1, None, None)], "row_id long, road string, city string")
+    tables = report.error_report(dirty, truth, ["road", "city"])
+    matrix = {r["column_name"]: r for r in tables["matrix"].collect()}
+    assert list(matrix) == ["road", "city"]
+    assert (matrix["road"]["synonym"], matrix["road"]["missing"], matrix["road"]["synonym share"]) == (1, 1, 0.5)
+    assert (matrix["city"]["capitalization"], matrix["city"]["match"]) == (1, 1)
+    # a null on both sides matches, but is not a correct cell
+    assert tables["accuracy"].first()["correct_cells"] == 0
+    assert {r["column"]: r["match"] for r in tables["fields"].collect()} == {"road": 0, "city": 1}
+    updates = spark.createDataFrame([(0, 0, 0, "Main Street"), (1, 1, 0, "Elm")], "ord long, row long, col int, value string")
+    line = report.update_report(dirty, truth, updates, "d", "t", ["road", "city"]).first()
+    assert (line["dataset"], line["tool"], line["precision"], line["recall"]) == ("d", "t", 0.5, 0.5)
+    assert line["edr"] == 0.25
