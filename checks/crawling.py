@@ -365,6 +365,16 @@ def stats_by_file(spark, sf):
     return stats(spark, sf)
 
 
+@query(
+    "stats_json",
+    KEYS
+    + """select file_id, '{' || string_agg('"' || key || '":' || value, ',' order by key) || '}' as stats
+from (select file_id, key, count(*) as value from keys group by all) group by file_id""",
+)
+def stats_json(spark, sf):
+    return counters.stats_json(stats(spark, sf))
+
+
 @query(
     "stats_prefix_sum",
     KEYS

@@ -224,3 +224,11 @@ def test_reports(spark):
     line = report.update_report(dirty, truth, updates, "d", "t", ["road", "city"]).first()
     assert (line["dataset"], line["tool"], line["precision"], line["recall"]) == ("d", "t", 0.5, 0.5)
     assert line["edr"] == 0.25
+
+
+def test_blank_as_null(spark):
+    rows = [triple("a", "Main 1", " ", FULL), triple("a", "Main 1", None, FULL)]
+    df = spark.createDataFrame(rows, TRIPLES)
+    assert pack.pack_dataset(df).count() == 2
+    got = pack.pack_dataset(df, blank_as_null=True).collect()
+    assert [(r["name"], r["city"], r["target_city"]) for r in got] == [("a", None, "Town")]
