@@ -32,16 +32,26 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_ROOT: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder name below the cluster's shared checkpoint folder.
 
     The folder comes from ``spark.checkpoint.dir``.  Only a local session may go without
-    it; there all tasks see the same disk, so a temporary folder is used and remembered.
+    it; there all tasks see the same disk, so one temporary folder serves the process.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="streetloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not _LOCAL_ROOT:
+            _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="streetloom-"))
+        root = _LOCAL_ROOT[0]
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a stage table that no later step reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
