@@ -39,7 +39,7 @@ RATIOS = {
     "word_length": ("word_chars", "n_words", "both", 3 * SCALE),
     "symbols": ("n_symbols", "n_words", "high", SCALE // 10),
     "dup_lines": ("n_dup_lines", "n_lines", "high", SCALE * 3 // 10),
-    "repeats": ("n_repeat_words", "n_words", "high", SCALE // 10),
+    "repeats": ("n_repeat_words", "n_words", "high", SCALE // 5),
 }
 METRICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
