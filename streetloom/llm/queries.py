@@ -7,15 +7,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from streetloom.llm import sql
+from streetloom.llm.bpe import encoded
 from streetloom.llm.line_dedup import line_dedup
+from streetloom.llm.mixing import mixture
 from streetloom.llm.quality import quality
 from streetloom.llm.secrets import secrets
+from streetloom.llm.simhash import near_duplicates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def byte_bpe() -> str:
+    """The path of the public byte-level vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(spark, _table(spark, sf_dir, "documents"))
+
+
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(spark, _table(spark, sf_dir, "documents"))
+
+
+def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(spark, _table(spark, sf_dir, "documents"), byte_bpe())
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(spark, _table(spark, sf_dir, "documents"))
 
@@ -29,7 +51,10 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_quality_rules, op8_line_dedup, op9_secret_scans)
+    f.__name__: f for f in (
+        op3_simhash_near_dedup, op5_source_mixing, op6_bpe_codec, op7_quality_rules,
+        op8_line_dedup, op9_secret_scans,
+    )
 }
 ORACLES: dict[str, str] = {
     "op7_quality_rules": sql.QUALITY,
