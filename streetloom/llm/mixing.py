@@ -30,8 +30,9 @@ WEIGHTS = (5, 2, 1)
 #: No source is repeated more often than this.
 MOST = 3
 SEED = 17
-#: The knapsack fills budgets up to this many words; shares and fractions cover the rest.
-KNAPSACK = 65_536
+#: Shares and fractions go on until so many words are left (or one document); the knapsack
+#: fills these.
+KNAPSACK = 4096
 #: Hashes that agree above this bit are counted together: 65,536 ranges per source and length.
 RANGE_SHIFT = 48
 

@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from streetloom.llm import sql
 from streetloom.llm.bpe import encoded
+from streetloom.llm.chat import digests, formatted
+from streetloom.llm.html_text import extracted
 from streetloom.llm.line_dedup import line_dedup
 from streetloom.llm.mixing import mixture
+from streetloom.llm.neighbours import nearest
 from streetloom.llm.quality import quality
 from streetloom.llm.secrets import secrets
 from streetloom.llm.simhash import near_duplicates
@@ -26,6 +29,21 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: A conversation whose texts consist of strings that other templates use as marks.
+MARKS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marks = spark.createDataFrame(MARKS, "conv_id long, turn long, role string, text string")
+    return digests(formatted(spark, rows.unionByName(marks), byte_bpe()))
+
+
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return nearest(spark, rows, rows.where("vec_id % 50 = 0"), k=5)
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, _table(spark, sf_dir, "documents"))
 
@@ -50,10 +68,14 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets(spark, _table(spark, sf_dir, "documents"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(spark, _table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op3_simhash_near_dedup, op5_source_mixing, op6_bpe_codec, op7_quality_rules,
-        op8_line_dedup, op9_secret_scans,
+        op1_chat_format, op2_nearest_neighbours, op3_simhash_near_dedup, op5_source_mixing, op6_bpe_codec, op7_quality_rules,
+        op8_line_dedup, op9_secret_scans, op10_html_extraction,
     )
 }
 ORACLES: dict[str, str] = {
