@@ -339,8 +339,8 @@ def wrappers(spark: SparkSession, pages: DataFrame) -> DataFrame:
     most = F.max(F.when(~F.col("constant"), F.col("varying"))).over(Window.partitionBy("host"))
     nodes = nodes.withColumn("full", ~F.col("constant") & (F.col("varying") >= 0.8 * most))
     chosen = nodes.groupBy("host").agg(
-        F.sort_array(F.collect_list(F.when("constant", F.col("node")))).alias("template"),
-        F.max(F.when("full", F.col("node"))).alias("slot"),
+        F.sort_array(F.collect_list(F.when(F.col("constant"), F.col("node")))).alias("template"),
+        F.max(F.when(F.col("full"), F.col("node"))).alias("slot"),
     )
     return chosen.where("slot is not null").join(reference, "host").select(
         "host",

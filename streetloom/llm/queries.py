@@ -10,6 +10,7 @@ from streetloom.llm import sql
 from streetloom.llm.bpe import encoded
 from streetloom.llm.chat import digests, formatted
 from streetloom.llm.html_text import extracted
+from streetloom.llm.language_model import language_scores
 from streetloom.llm.line_dedup import line_dedup
 from streetloom.llm.mixing import mixture
 from streetloom.llm.neighbours import nearest
@@ -48,6 +49,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, _table(spark, sf_dir, "documents"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_scores(spark, _table(spark, sf_dir, "documents"))
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(spark, _table(spark, sf_dir, "documents"))
 
@@ -74,8 +79,8 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_chat_format, op2_nearest_neighbours, op3_simhash_near_dedup, op5_source_mixing, op6_bpe_codec, op7_quality_rules,
-        op8_line_dedup, op9_secret_scans, op10_html_extraction,
+        op1_chat_format, op2_nearest_neighbours, op3_simhash_near_dedup, op4_lm_scoring,
+        op5_source_mixing, op6_bpe_codec, op7_quality_rules, op8_line_dedup, op9_secret_scans, op10_html_extraction,
     )
 }
 ORACLES: dict[str, str] = {
