@@ -210,7 +210,8 @@ def deduplicated(
     runs = runs.groupBy("__rid").agg(F.collect_list(F.struct("start", "m")).alias("__runs"))
     runs = staged(spark, runs, "copies")
     release(spark, paths)
-    joined = rows.join(runs, "__rid", "left")
+    # the table of copies grows with the corpus and is never broadcast
+    joined = rows.join(runs.hint("merge"), "__rid", "left")
     cut = F.when(F.col("__runs").isNotNull(), _kept_text(F.col(text), F.col("__runs")))
     joined = joined.withColumn("__cut", cut)
     out = joined.withColumns(
