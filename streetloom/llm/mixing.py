@@ -191,7 +191,11 @@ def mixed(
         rows.join(
             goals.withColumnRenamed("source", "goal"), F.col("source").eqNullSafe(F.col("goal"))
         )
-        .join(plan, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")), "left")
+        .join(
+            plan.hint("merge"),  # it grows with the lengths that occur
+            F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")),
+            "left",
+        )
         .withColumn(
             "copies",
             F.coalesce(F.col("whole"), F.lit(0)) + F.coalesce(taken, F.lit(False)).cast("int"),

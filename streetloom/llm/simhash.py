@@ -189,4 +189,5 @@ def representative_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     first = F.min(F.struct(F.col(doc_id).isNull(), doc_id, "__rid"))
     best = rows.groupBy("fp").agg(first.alias("first")).join(roots, "fp")
     best = best.groupBy("root").agg(F.min("first").alias("first")).select("first.__rid")
-    return restored(rows.join(best, "__rid", "left_semi"), names[: len(docs.columns)])
+    # the table of survivors grows with the corpus and is never broadcast
+    return restored(rows.join(best.hint("merge"), "__rid", "left_semi"), names[: len(docs.columns)])
