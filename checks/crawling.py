@@ -262,11 +262,35 @@ _PLACES = "select *, " + ", ".join(
     f"{sql.match_text(c)} as p_{c}"
     for c in ["name", "road", "house_number", "postcode", "locality", "region", "country", "country_code"]
 ) + " from d4"
+# What must agree, the most telling set first; a location alone is answered by areas only.
+_LEVELS = [
+    ("name", "road", "house_number", "postcode"),
+    ("name", "road", "house_number", "locality", "region"),
+    ("name", "road", "house_number", "locality"),
+    ("name", "road", "postcode"),
+    ("name", "road", "locality", "region"),
+    ("name", "road", "locality"),
+    ("road", "house_number", "postcode"),
+    ("road", "house_number", "locality", "region"),
+    ("road", "house_number", "locality"),
+    ("road", "postcode"),
+    ("road", "locality", "region"),
+    ("road", "locality"),
+    ("name", "postcode"),
+    ("name", "locality", "region"),
+    ("name", "locality"),
+    ("postcode",),
+    ("locality", "region"),
+    ("locality",),
+]
+_AREA = " and p.p_name is null and p.p_road is null and p.p_house_number is null"
 _MATCHES = " union all ".join(
     f"select q.row_id, {level} as match_level, min(p.place_id) as place_id from asked q join places p on "
     + " and ".join(f"q.a_{f} = p.p_{f}" for f in fields)
-    + " and (q.a_country is null or q.a_country = p.p_country or q.a_country = p.p_country_code) group by q.row_id"
-    for level, fields in enumerate(geocode.LEVELS)
+    + " and (q.a_country is null or q.a_country = p.p_country or q.a_country = p.p_country_code)"
+    + ("" if set(fields) & {"name", "road", "house_number"} else _AREA)
+    + " group by q.row_id"
+    for level, fields in enumerate(_LEVELS)
 )
 _BEST = """select row_id, min(match_level) as match_level, arg_min(place_id, match_level) as place_id from matches group by row_id"""
 LOOKUP = ctes("d4", "d10q", asked=_ASKED, places=_PLACES, matches=_MATCHES, best=_BEST)
@@ -449,7 +473,7 @@ def scanned(df):
 def warc_scan(spark, sf):
     root = write_archives(spark, sf)
     listed = spark.read.parquet(f"{root}-list")
-    return scanned(archive.good_records(archive.scan_archives(listed, root, 8)))
+    return scanned(archive.good_records(archive.scan_archives(listed, root)))
 
 
 @query("warc_source", f"{ctes('d9', scanned=_SCANNED)} select * from scanned where rec_type = 'response'")
@@ -468,7 +492,7 @@ def warc_source(spark, sf):
 def scan_errors(spark, sf):
     root = write_archives(spark, sf, broken=True)
     listed = spark.read.parquet(f"{root}-list")
-    return archive.scan_errors(archive.scan_archives(listed, root, 8)).select("file_id")
+    return archive.scan_errors(archive.scan_archives(listed, root)).select("file_id")
 
 
 @query("stream_extract", EXTRACTED + f"select {_EXTRACT_COLUMNS} from extracted")

@@ -263,7 +263,7 @@ def repair_report(spark, sf):
     return repair.repair_report(truth, dirty, repairs, "customers", ["folding"])
 
 
-_BLANKED = "select row_id, case when row_id % 17 = 0 then '' else name end as name, " + ", ".join(
+_BLANKED = "select row_id, case when row_id % 17 = 0 then '' when row_id % 17 = 1 then name || chr(10) || chr(92) || 'n' when row_id % 17 = 2 then chr(92) || 'N' else name end as name, " + ", ".join(
     COLUMNS[1:]
 ) + " from d2"
 
@@ -277,7 +277,11 @@ _BLANKED = "select row_id, case when row_id % 17 = 0 then '' else name end as na
 )
 def csv_pair_roundtrip(spark, sf):
     dirty = frame(spark, sf, "d2").withColumn(
-        "name", F.when(F.col("row_id") % 17 == 0, "").otherwise(F.col("name"))
+        "name",
+        F.when(F.col("row_id") % 17 == 0, "")
+        .when(F.col("row_id") % 17 == 1, F.concat("name", F.lit("\n\\n")))
+        .when(F.col("row_id") % 17 == 2, "\\N")
+        .otherwise(F.col("name")),
     )
     where = scratch_path(spark, "csv")
     files.write_csv(dirty, f"{where}/values")

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streetloom import configure
-from streetloom.operators.tables import spread
 
 COLUMNS = [
     "name", "house_number", "road", "postcode", "locality", "region", "country", "country_code",
@@ -53,6 +52,10 @@ _D4 = """
 select row_id + 1000000000 as place_id, name, house_number, road, postcode, locality, region, country, country_code from d1 where row_id % 10 <> 9
 union all
 select row_id + 2000000000 as place_id, concat(name, ' Annex') as name, concat(house_number, 'b') as house_number, road, postcode, locality, region, country, country_code from d1 where row_id % 4 = 0
+union all
+select min(row_id) + 3000000000 as place_id, cast(null as varchar(20)) as name, cast(null as varchar(20)) as house_number, cast(null as varchar(20)) as road, cast(null as varchar(20)) as postcode, locality, region, country, country_code from d1 where row_id % 3 = 0 group by locality, region, country, country_code
+union all
+select row_id + 4000000000 as place_id, cast(null as varchar(20)) as name, cast(null as varchar(20)) as house_number, cast(null as varchar(20)) as road, postcode, cast(null as varchar(20)) as locality, cast(null as varchar(20)) as region, country, country_code from d1 where row_id % 5 = 0
 """
 
 _D5 = """
@@ -206,7 +209,8 @@ def _prepare(spark: SparkSession, sf_dir: str) -> None:
     for table in TABLES:
         scanned = spark.read.parquet(f"{sf_dir}/{table}.parquet")
         if table in LARGE:
-            scanned = spread(scanned)
+            # one small file each; a user's table arrives in as many parts as it has blocks
+            scanned = scanned.repartition(spark.sparkContext.defaultParallelism)
         scanned.createOrReplaceTempView(table)
     _READY.update(spark=spark, sf_dir=sf_dir)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
@@ -178,15 +179,9 @@ def nearest_candidate(
 
 
 def alias_table(aliases: Mapping[str, Sequence[str]]) -> Column:
-    """The alias table as a constant map column; it travels with the plan, so it must be small."""
-    if len(aliases) > 10_000:
-        raise ValueError("alias table too large for a constant: join a table of aliases instead")
-    entries = [
-        part
-        for token, words in sorted(aliases.items())
-        for part in (F.lit(token), F.array(F.lit(token), *[F.lit(w) for w in words]))
-    ]
-    return F.create_map(*entries)
+    """The alias table as one constant map column that is parsed once, whatever its size."""
+    forms = {token: [token, *words] for token, words in sorted(aliases.items())}
+    return F.from_json(F.lit(json.dumps(forms)), "map<string,array<string>>")
 
 
 def same_expansion(

@@ -2,6 +2,8 @@
 
 A query is answered by the place that agrees with it on the most telling set of fields.
 The sets are tried in a fixed order (``LEVELS``); within a set the smallest place id wins.
+A set that only holds a location is answered by a town or a postcode area, that is a place
+without name, road and house number of its own, never by some shop of that town.
 If the query names a country, only places of that country (by name or by code) count.
 
 Every set of fields becomes one text key on both sides.  The places are reduced to one row
@@ -34,13 +36,20 @@ _SEP = "\x1f"
 _FIELDS = ["name", "road", "house_number", "postcode", "locality", "region"]
 
 
-def _level_keys(df: DataFrame, kept: str, country: Column, prefix: str) -> DataFrame:
-    """One row (kept, match_level, key) per level whose fields are all present."""
+def _level_keys(
+    df: DataFrame, kept: str, country: Column, prefix: str, coarse: Column | None = None
+) -> DataFrame:
+    """One row (kept, match_level, key) per level whose fields are all present.
+
+    ``coarse`` tells which rows may have the keys of locations alone (null: all).
+    """
     keys = []
     for level, fields in enumerate(LEVELS):
         # concat is null if any part is
         parts = [p for f in fields for p in (F.lit(_SEP), F.col(f"{prefix}{f}"))]
         key = F.concat(F.lit(f"{level}{_SEP}"), country, *parts)
+        if coarse is not None and not set(fields) - {f for a in ANCHORS for f in a}:
+            key = F.when(coarse, key)
         keys.append(F.struct(F.lit(level).alias("match_level"), key.alias("key")))
     return df.select(kept, F.inline(F.array(*keys))).where(F.col("key").isNotNull())
 
@@ -57,7 +66,8 @@ def place_index(places: DataFrame) -> DataFrame:
         F.explode(F.array_distinct(F.array_compact(countries))).alias("m_country"),
         *[f"m_{f}" for f in _FIELDS],
     )
-    keys = _level_keys(matched, "place_id", F.col("m_country"), "m_")
+    coarse = F.coalesce("m_name", "m_road", "m_house_number").isNull()
+    keys = _level_keys(matched, "place_id", F.col("m_country"), "m_", coarse)
     return keys.groupBy("key").agg(F.min("place_id").alias("place_id"))
 
 

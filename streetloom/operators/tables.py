@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+
 def bind(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add columns that are evaluated once, whatever later steps do with them.
 
@@ -18,16 +19,6 @@ def bind(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.select(*others, F.inline(F.array(row)))
 
 
-def spread(table: DataFrame) -> DataFrame:
-    """Share out a scanned table that arrives in fewer partitions than there are cores.
-
-    Costly steps on a small or unsplittable input would otherwise run on a few cores only; a
-    table with enough partitions is left as it is.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
-
-
 _BUCKET_DIGITS = 4  # 16 ** 4 buckets of the content hash
 
 

@@ -195,7 +195,10 @@ def scan_archives(
 ) -> DataFrame:
     """Records of the archives named by ``manifest.file_id``, relative to ``root``.
 
-    ``tasks`` spreads the files; ``only`` keeps one record type and skips the bytes of others.
+    Every file gets a task of its own, whatever the number of files; a smaller number of
+    ``tasks`` can be asked for.  On a stream, whose files cannot be counted beforehand, they
+    are shared out among the shuffle partitions of the session.  ``only`` keeps one record
+    type and skips the bytes of others.
     """
     base = f"{root.rstrip('/')}/" if root else ""
 
@@ -204,8 +207,10 @@ def scan_archives(
             for file_id in batch.column(0).to_pylist():
                 yield from _batches(_file_records(file_id, base + file_id, only))
 
-    spread = manifest.select("file_id")
-    spread = spread.repartition(tasks) if tasks else spread
+    listed = manifest.select("file_id")
+    if not tasks and listed.isStreaming:
+        tasks = int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = listed.repartition(tasks or max(listed.count(), 1))
     return spread.mapInArrow(read, ARCHIVE_SCHEMA)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,8 +66,32 @@ def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _one_line(text: Column) -> Column:
+    """The text on one line: a backslash becomes ``\\s``, line breaks ``\\n`` and ``\\r``."""
+    return F.replace(
+        F.replace(F.replace(text, F.lit("\\"), F.lit("\\s")), F.lit("\n"), F.lit("\\n")),
+        F.lit("\r"), F.lit("\\r"),
+    )
+
+
+def _all_lines(text: Column) -> Column:
+    """Undo `_one_line`."""
+    return F.replace(
+        F.replace(F.replace(text, F.lit("\\r"), F.lit("\r")), F.lit("\\n"), F.lit("\n")),
+        F.lit("\\s"), F.lit("\\"),
+    )
+
+
 def write_csv(table: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    table.write.mode(mode).options(emptyValue='""', **CSV_OPTIONS).csv(path)
+    """CSV with one line per row: line breaks inside values are escaped, so files can be split."""
+    escaped = table.select(
+        *[
+            _one_line(F.col(f"`{f.name}`")).alias(f.name)
+            if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
+            for f in table.schema
+        ]
+    )
+    escaped.write.mode(mode).options(emptyValue='""', **CSV_OPTIONS).csv(path)
 
 
 def read_csv(
@@ -75,18 +99,18 @@ def read_csv(
     path: str,
     columns: Sequence[str],
     row_id: bool = True,
-    multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with text columns, and the row number that aligns value and target files.
+    """CSV of `write_csv` with text columns, and the row number that aligns two such files.
 
-    ``multi_line`` is needed for values with line breaks; such files are not split.
+    A line with another number of values fails the read.
     """
     fields = list(strings(*columns).fields)
     if row_id:
         fields = [T.StructField("row_id", T.LongType()), *fields]
-    return spark.read.schema(T.StructType(fields)).options(
-        emptyValue="", multiLine=str(multi_line).lower(), **CSV_OPTIONS
+    rows = spark.read.schema(T.StructType(fields)).options(
+        emptyValue="", mode="FAILFAST", **CSV_OPTIONS
     ).csv(path)
+    return rows.withColumns({c: _all_lines(F.col(f"`{c}`")) for c in columns})
 
 
 def read_outside_csv(
@@ -94,12 +118,13 @@ def read_outside_csv(
 ) -> DataFrame:
     """A CSV of another tool that is aligned by position only, numbered in file order.
 
+    A line of another width fails the read; values with line breaks need ``multi_line``.
     Lines are counted per file split; the number of a line is its place in the split plus the
     lines of the splits before, so a large file is numbered by all tasks at once.
     """
     lines = (
         spark.read.schema(strings(*columns))
-        .options(header="true", escape='"', multiLine=str(multi_line).lower())
+        .options(header="true", escape='"', mode="FAILFAST", multiLine=str(multi_line).lower())
         .csv(path)
         .select(
             "*",

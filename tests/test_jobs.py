@@ -40,12 +40,17 @@ def test_lookup_equals_brute_force(spark):
             "name": low(name), "road": low(road) or None, "house_number": house or None, "postcode": code,
             "locality": low(city), "region": low(state),
         }
-        for level, fields in enumerate(geocode.LEVELS):
+        where = ["postcode"], ["locality", "region"], ["locality"]
+        what = (
+            ["name", "road", "house_number"], ["name", "road"], ["road", "house_number"], ["road"], ["name"], [],
+        )
+        for level, (fields, bare) in enumerate((w + x, not w) for w in what for x in where):
             if any(asked[f] is None for f in fields):
                 continue
             hits = [
                 p[0] for p in places
                 if all(low(dict(zip(PLACE_NAMES, p))[f]) == asked[f] for f in fields)
+                and not (bare and (p[1] or p[2] or p[3]))
                 and (country is None or low(country) in (low(p[7]), low(p[8])))
             ]
             if hits:
@@ -190,10 +195,10 @@ def test_cell_updates_file(spark, tmp_path):
 
 
 def test_csv_keeps_null_blank_and_odd_text(spark, tmp_path):
-    rows = [(0, None, ""), (1, " a ", 'q"q'), (2, "a,b", "x\\y"), (3, "l1\nl2", "\\")]
+    rows = [(0, None, ""), (1, " a ", 'q"q'), (2, "a,b", "x\\y"), (3, "l1\nl2", "\\"), (4, "\\n\r\n\\N", "\\N"), (5, "\\s\n", "\n")]
     df = spark.createDataFrame(rows, "row_id long, a string, b string")
     files.write_csv(df, str(tmp_path / "t"))
-    got = files.read_csv(spark, str(tmp_path / "t"), ["a", "b"], multi_line=True).orderBy("row_id").collect()
+    got = files.read_csv(spark, str(tmp_path / "t"), ["a", "b"]).orderBy("row_id").collect()
     assert [tuple(r) for r in got] == rows
 
 

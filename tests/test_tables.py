@@ -50,12 +50,6 @@ def test_observed_count(spark):
     assert seen.get == {"rows": 7}
 
 
-def test_spread_leaves_large_tables_alone(spark):
-    wide = spark.range(0, 100, 1, 50)
-    assert tables.spread(wide) is wide
-    assert tables.spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() > 1
-
-
 def _repair(spark, rows):
     """rows of (truth, dirty, repaired) for one column"""
     numbered = [(i, *r) for i, r in enumerate(rows)]
