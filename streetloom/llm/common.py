@@ -6,6 +6,8 @@ columns are renamed away from them where a whole row is carried along, so a clas
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,19 @@ SPACES = r"[\x20\x09-\x0D]+"
 NOT_SPACES = r"[^\x20\x09-\x0D]+"
 
 
+_COLLECTORS: list[list] = []
+
+
+@contextmanager
+def collected(paths: list):
+    """Collect the folders of stage tables that results handed out meanwhile still read."""
+    _COLLECTORS.append(paths)
+    try:
+        yield paths
+    finally:
+        _COLLECTORS.remove(paths)
+
+
 def staged(spark: SparkSession, df: DataFrame, label: str, paths: list | None = None) -> DataFrame:
     """Write a table to the shared scratch folder and read it back.
 
@@ -24,6 +39,8 @@ def staged(spark: SparkSession, df: DataFrame, label: str, paths: list | None =
     """
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    if paths is None and _COLLECTORS:
+        paths = _COLLECTORS[-1]
     if paths is not None:
         paths.append(path)
     return spark.read.schema(df.schema).parquet(path)

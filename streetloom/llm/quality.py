@@ -248,7 +248,9 @@ def assess(spark: SparkSession, docs: DataFrame, carry: list[str]) -> tuple[Data
     text, lang, source = (f"__in{len(carry) + i}" for i in range(3))
     rows = measured(renamed.withColumns({"lang": F.col(lang), "source": F.col(source)}), text)
     rows = staged(spark, rows.drop(text, lang, source), "quality")
-    return judged(rows, thresholds(sketches(rows))), names[: len(carry)]
+    # written first, so that the planner knows how small the table of limits is
+    limits = staged(spark, thresholds(sketches(rows)), "limits")
+    return judged(rows, limits), names[: len(carry)]
 
 
 def quality(spark: SparkSession, docs: DataFrame) -> DataFrame:
