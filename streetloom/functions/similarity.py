@@ -44,8 +44,28 @@ ALIASES: dict[str, list[str]] = {
 }
 
 
+def _shared(a: Column, b: Column, side) -> Column:
+    """Length of the longest text both end with on ``side`` (`F.left` or `F.right`)."""
+    shorter = F.least(F.length(a), F.length(b))
+    return F.aggregate(
+        F.array(*[F.lit(2**k) for k in range(29, -1, -1)]),
+        F.lit(0),
+        lambda n, step: F.when(
+            (n + step <= shorter) & (side(a, n + step) == side(b, n + step)), n + step
+        ).otherwise(n),
+    )
+
+
+def _middles(a: Column, b: Column) -> Column:
+    """The two texts as an array, without what they share at their start and then at their end."""
+    start = _shared(a, b, F.left)
+    rests = F.array(F.substring(a, start + 1, F.length(a)), F.substring(b, start + 1, F.length(b)))
+    end = _shared(rests[0], rests[1], F.right)
+    return F.transform(rests, lambda rest: F.left(rest, F.length(rest) - end))
+
+
 def _swaps(text: Column) -> Column:
-    """Every text that one exchange of neighbouring characters turns the text into."""
+    """What one exchange of neighbours near the start or the end turns the text into."""
 
     def swapped(i: Column) -> Column:
         return F.concat(
@@ -55,9 +75,9 @@ def _swaps(text: Column) -> Column:
             F.substring(text, i + 2, F.length(text)),
         )
 
-    return F.when(
-        F.length(text) > 1, F.transform(F.sequence(F.lit(1), F.length(text) - 1), swapped)
-    ).otherwise(F.array().cast("array<string>"))
+    last = F.length(text) - 1
+    places = F.array(F.lit(1), F.lit(2), F.lit(3), last - 2, last - 1, last)
+    return F.transform(F.filter(F.array_distinct(places), lambda i: i.between(1, last)), swapped)
 
 
 def within_two_edits(left: Column, right: Column) -> Column:
@@ -67,18 +87,24 @@ def within_two_edits(left: Column, right: Column) -> Column:
     neighbours as one edit, D <= L <= 2 D holds.  So L <= 2 proves D <= 2 and L > 4 disproves
     it.  For L of 3 or 4, two edits can only suffice if one of them is an exchange; as it
     comes first or last, it can be undone on one side, leaving at most one edit between.
+    Without the text shared at both ends, an exchange that comes first or last lies at an end
+    of what remains, so a few copies of it suffice, whatever its length.
     """
     plain = F.levenshtein(left, right, 4)
 
     def one_apart(a: Column, b: Column) -> Column:
         return F.levenshtein(a, b, 1) >= 0
 
-    exchange = (
-        F.exists(_swaps(left), lambda s: one_apart(s, right))
-        | F.exists(_swaps(right), lambda s: one_apart(left, s))
-        | F.arrays_overlap(_swaps(left), _swaps(right))
-    )
-    return F.when(plain.between(0, 2), True).when(plain.between(3, 4), exchange).otherwise(False)
+    def exchange(ends: Column) -> Column:
+        a, b = ends[0], ends[1]
+        return (
+            F.exists(_swaps(a), lambda s: one_apart(s, b))
+            | F.exists(_swaps(b), lambda s: one_apart(a, s))
+            | F.arrays_overlap(_swaps(a), _swaps(b))
+        )
+
+    found = F.exists(F.array(_middles(left, right)), exchange)
+    return F.when(plain.between(0, 2), True).when(plain.between(3, 4), found).otherwise(False)
 
 
 def edit_distance(a: str, b: str) -> int:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streetloom.functions import address, jsonld
+from streetloom.functions.text import blank_to_null
 from streetloom.operators.tables import bind
 from streetloom.schemas import PAIR_COLUMNS, TARGET_COLUMNS
 
@@ -72,9 +73,7 @@ def complete_pairs(pairs: DataFrame, blank_as_null: bool = False) -> DataFrame:
     The null test comes first so that it also thins the input of the distinct.
     """
     if blank_as_null:
-        pairs = pairs.select(
-            *[F.when(F.trim(c) != "", F.col(c)).alias(c) for c in pairs.columns]
-        )
+        pairs = pairs.select(*[blank_to_null(F.col(c)).alias(c) for c in pairs.columns])
     targets = [c for c in TARGET_COLUMNS if c in pairs.columns]
     return pairs.na.drop(subset=targets).distinct()
 

@@ -81,8 +81,9 @@ def run(
     """Extract the archives of a manifest frame and append to the tables below ``out``.
 
     ``records`` (gzip JSON by segment), ``stats``, ``errors`` and ``done``.  A file that fails
-    leaves an error and no records, and stays pending.
+    leaves an error and no records, and stays pending.  A file listed twice is read once.
     """
+    todo = todo.dropDuplicates(["file_id"])
     staged_at = scratch_path(spark, "extract")
     scan = archive.scan_archives(todo, root, tasks)
     page_results(scan).where(
@@ -96,5 +97,4 @@ def run(
     stats = manifest.with_segment(result_counters(whole))
     stats.write.mode("append").partitionBy("segment").parquet(f"{out}/stats")
     errors.write.mode("append").parquet(f"{out}/errors")
-    finished = todo.select("file_id").distinct()
-    finished.join(errors, "file_id", "left_anti").write.mode("append").parquet(f"{out}/done")
+    todo.select("file_id").join(errors, "file_id", "left_anti").write.mode("append").parquet(f"{out}/done")

@@ -42,6 +42,18 @@ def test_within_two_edits_is_exact(one):
     assert 100 < sum(want) < len(pairs) - 100
 
 
+def test_within_two_edits_on_long_texts(one):
+    long = "abcdefghij" * 2_000
+    rows = [
+        ("xy" + long + "pq", "yx" + long + "qp"),
+        ("xy" + long + "p", "yx" + long),
+        (long + "xy" + long, "q" + long + "yx" + long),
+        ("xy" + long + "pq" + long, "yx" + long + "qp" + long + "z"),
+    ]
+    got = one(lambda a, b: sim.within_two_edits(a, b), rows, "a string, b string")
+    assert got == [True, True, True, False]
+
+
 def test_nearest_is_exact(one):
     rng = random.Random(7)
 
