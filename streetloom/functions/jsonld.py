@@ -8,25 +8,33 @@ deeper ones as many as there are opening brackets in the text, so any depth is c
 from __future__ import annotations
 
 from collections.abc import Callable
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from streetloom.functions.markup import TolerantParser
+
 JSON_LD_TYPE = "application/ld+json"
 
-# One alternative per kind of region a page scanner has to step over as a whole: comments,
-# and scripts with their attributes and raw text.  Possessive quantifiers keep the matcher
-# from back-tracking over large pages.
+# A page scanner steps over comments, tags with their attribute values, and raw text as a
+# whole, and stops at scripts.  Possessive quantifiers keep the matcher from back-tracking
+# over large pages; an end of the page counts as a (blank) stop, so the rest is read once.
+_ATTRIBUTES = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)?+)*+"""
+_OPEN_SCRIPT = rf"<script(?=[\s/>]){_ATTRIBUTES}>"
+_RAW_TEXT = "|".join(
+    rf"<{tag}(?=[\s/>]){_ATTRIBUTES}>.*?(?:</{tag}(?=[\s/>])|\z)"
+    for tag in ("style", "textarea", "title")
+)
 _REGIONS = (
-    r"""(?is)<!--.*?(?:-->|\z)"""
-    r"""|<script(?=[\s/>])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>.*?(?:</script(?=[\s/>])|\z)"""
+    rf"(?is)(?:[^<]++|<!--(?:-?>|.*?(?:-->|\z))|{_RAW_TEXT}"
+    rf"|(?!{_OPEN_SCRIPT})</?[a-z]{_ATTRIBUTES}(?:>|\z)|<(?!/?[a-z]))*+"
+    rf"({_OPEN_SCRIPT}.*?(?:</script(?=[\s/>])|\z)|\z)"
 )
-_OPEN_TAG = r"""(?is)^<script((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
-_BODY = r"""(?is)^<script(?:[^>"']++|"[^"]*+"|'[^']*+')*+>(.*?)(?:</script)?\z"""
-_ATTRIBUTE = r"""([^\s=>"'/]+)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+_OPEN_TAG = rf"(?is)^<script({_ATTRIBUTES})>"
+_BODY = rf"(?is)^<script{_ATTRIBUTES}>(.*?)(?:</script)?\z"
+_ATTRIBUTE = r"""([^\s=>"'/]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
 _PLUS_ENTITY = "&#(?:43|[xX]2[bB]);"
 
 
@@ -38,7 +46,7 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 def script_texts(page: Column) -> Column:
     """Texts of all JSON-LD scripts of a page, in page order, empty ones left out."""
     clean = F.replace(page, F.lit("\0"), F.lit(""))
-    regions = F.regexp_extract_all(clean, F.lit(_REGIONS), F.lit(0))
+    regions = F.regexp_extract_all(clean, F.lit(_REGIONS), F.lit(1))
 
     def script_type(region: Column) -> Column:
         """Value of the first ``type`` attribute."""
@@ -49,9 +57,7 @@ def script_texts(page: Column) -> Column:
         return F.regexp_replace(F.regexp_replace(value, "^[\"']|[\"']$", ""), _PLUS_ENTITY, "+")
 
     def is_json_ld(region: Column) -> Column:
-        return ~region.startswith("<!--") & F.coalesce(
-            script_type(region) == JSON_LD_TYPE, F.lit(False)
-        )
+        return F.coalesce(script_type(region) == JSON_LD_TYPE, F.lit(False))
 
     bodies = F.transform(
         F.filter(regions, is_json_ld), lambda region: F.regexp_extract(region, _BODY, 1)
@@ -59,7 +65,9 @@ def script_texts(page: Column) -> Column:
     return F.filter(bodies, lambda text: text != "")
 
 
-class _ScriptCollector(HTMLParser):
+class _ScriptCollector(TolerantParser):
+    CDATA_CONTENT_ELEMENTS = ("script", "style", "textarea", "title")
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.texts, self.inside = [], False

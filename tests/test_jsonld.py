@@ -25,6 +25,15 @@ PAGES = [
     ('<script type="application/ld&#43;json">entity</script>', ["entity"]),
     ('<scripty type="application/ld+json">no</scripty>', []),
     ("no script", []),
+    ('<div title="<!--">x</div>' + T.format("attribute"), ["attribute"]),
+    ('<style>p::before{content:"<!--"}</style>' + T.format("style"), ["style"]),
+    ("<textarea><!-- </textarea>" + T.format("area"), ["area"]),
+    ("<!-->" + T.format("short") + "<!--->" + T.format("shorter"), ["short", "shorter"]),
+    ("<script data-x=it's type=application/ld+json>quote</script>", ["quote"]),
+    ("<a title=\"<script type='application/ld+json'>no</script>\">" + T.format("title"), ["title"]),
+    ("1 < 2 </ 3 <> <![odd x]> <!doctype html>" + T.format("text"), ["text"]),
+    (T.format("open") + "<a href='x", ["open"]),
+    (T.format("ended") + "<!-- " + T.format("no"), ["ended"]),
     (None, None),
 ]
 
@@ -42,6 +51,8 @@ def test_parser_finds_the_same(one):
 def test_large_page_does_not_overflow(one):
     page = "<script>" + "x<" * 200_000 + "</script>" + T.format("z") + "<!--" * 50_000
     assert one(jsonld.script_texts, [page], "page string") == [["z"]]
+    page = "<p class='a'>t</p>" * 50_000 + T.format("z") + "<a b=" * 100_000 + "<script " * 50_000
+    assert one(jsonld.script_texts, [page], "page string") == [["z"]]
 
 
 JSONS = [
