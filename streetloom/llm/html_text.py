@@ -26,13 +26,13 @@ from __future__ import annotations
 import json
 import re
 from hashlib import blake2b
-from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from streetloom.functions.markup import TolerantParser
 from streetloom.llm.common import staged
 
 #: A node is template or slot only if so many pages of the host aligned with it.
@@ -92,7 +92,7 @@ def _is_dropped(tag: str, attrs: dict) -> bool:
     return bool(DROPPED_NAMES.intersection(names))
 
 
-class _Reader(HTMLParser):
+class _Reader(TolerantParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Node("html")

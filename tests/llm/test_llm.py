@@ -301,11 +301,13 @@ def test_html_extraction(spark):
     )
     bare = "<body><div class=top>Site</div><div class=in><p>Own {0}</p><div class=x>Same</div></div></body>"
     rows = [(1, "http://a.example/1", page, 0), (2, None, None, 0), (3, "x", "", 0), (4, "http://a.example", "<p>broken <i", 0)]
+    rows += [(5, "http://a.example", "<article>a<![odd b]><p>c<!-->d<![if x]>e</p></article><!-- f", 0)]
     rows += [(10 + k, f"http://b.example/{k}", bare.format(k * 7), 0) for k in range(9)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, wrapper int")
     got = {r["page_id"]: r["text"] for r in extracted(spark, pages).collect()}
     assert got[1] == "Head & x\none two three\nfour"
     assert got[2] == got[3] == ""
+    assert got[5] == "a\ncde"
     assert [got[10 + k] for k in range(9)] == [f"Own {k * 7}" for k in range(9)]
     assert extracted(spark, pages.limit(0)).count() == 0
 
