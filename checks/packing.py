@@ -107,6 +107,29 @@ def dataset_variant_named(spark, sf):
     return pack.dataset_variant(packed, named=True, size=240)
 
 
+_FIRST_NAMES = {
+    "name": "name", "house": "house_number", "street": "road", "postalcode": "postcode",
+    "city": "locality", "state": "region", "country": "country", "countrycode": "country_code",
+}
+_FIRST = ", ".join(
+    f"{p}{old} as {p}{new}" for p in ("", "target_") for old, new in _FIRST_NAMES.items()
+)
+
+
+def _sample(name, rows):
+    @query(f"dataset_sample_{name}", DATASET + f"select {_FIRST} from numbered where row_id < {rows}")
+    def sample(spark, sf):
+        packed = pairs.pack_pairs(triples(spark, sf).select("osm", "address_query"))
+        return pack.first_version(pack.dataset_variant(packed, size=name))
+
+    return sample
+
+
+dataset_sample_2k = _sample("2k", 2_400)
+dataset_sample_24k = _sample("24k", 24_000)
+dataset_sample_240k = _sample("240k", 240_000)
+
+
 @query(
     "dataset_variant_noname",
     PACKED

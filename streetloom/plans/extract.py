@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from streetloom.functions import content, jsonld
 from streetloom.operators import counters, crawl, tables
-from streetloom.session import scratch_path
+from streetloom.session import drop_path, scratch_path
 from streetloom.sources import archive, files, manifest
 
 
@@ -98,3 +98,4 @@ def run(
     stats.write.mode("append").partitionBy("segment").parquet(f"{out}/stats")
     errors.write.mode("append").parquet(f"{out}/errors")
     todo.select("file_id").join(errors, "file_id", "left_anti").write.mode("append").parquet(f"{out}/done")
+    drop_path(spark, staged_at)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from streetloom.operators import pairs, tables
+from streetloom.schemas import PAIR_TO_DATASET
 from streetloom.sources import files
 
 # Sizes of the published samples.
@@ -22,11 +24,23 @@ def pack_dataset(triples: DataFrame, blank_as_null: bool = False) -> DataFrame:
     return pairs.complete_pairs(packed, blank_as_null)
 
 
-def dataset_variant(packed: DataFrame, named: bool = True, size: int | None = None) -> DataFrame:
-    """A published variant of the packed pairs: with or without names, whole or an exact sample."""
+def dataset_variant(
+    packed: DataFrame, named: bool = True, size: int | str | None = None
+) -> DataFrame:
+    """A published variant of the packed pairs: with or without names, whole or an exact sample.
+
+    ``size`` is a number of rows or the name of a published sample.
+    """
     kept = packed if named else pairs.without_name(packed)
     dataset = pairs.complete_pairs(kept)
-    return tables.exact_sample(dataset, size) if size else dataset
+    rows = SAMPLE_SIZES[size] if isinstance(size, str) else size
+    return tables.exact_sample(dataset, rows) if rows else dataset
+
+
+def first_version(dataset: DataFrame) -> DataFrame:
+    """The data set under the column names of its first version."""
+    names = PAIR_TO_DATASET | {f"target_{a}": f"target_{b}" for a, b in PAIR_TO_DATASET.items()}
+    return dataset.select(*[F.col(c).alias(names.get(c, c)) for c in dataset.columns])
 
 
 def run(spark: SparkSession, triples: DataFrame, out: str) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from streetloom.operators import geocode, objects
-from streetloom.session import scratch_path
+from streetloom.session import drop_path, scratch_path
 from streetloom.sources import files
 
 
@@ -28,3 +28,4 @@ def run(
     records = files.read_records(spark, extracted)
     stage = scratch_path(spark, "queries")
     files.write_records(validate_triples(records, places, index, stage), out)
+    drop_path(spark, stage)
