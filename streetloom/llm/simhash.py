@@ -44,7 +44,7 @@ RADIUS = 3
 #: First bit and width of the blocks; any linked pair is equal on three of six.
 BLOCKS = [(0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10)]
 #: Words of a shingle in the pipeline's stage, its bits, and the similarity it asks for as a
-#: fraction.  Sets that reach it differ in more bits with a chance of less than one in a million.
+#: fraction.  Sets that reach it differ in more bits with a chance of about one in a million at most.
 STAGE_SHINGLE, STAGE_RADIUS = 5, 28
 ALIKE = (4, 5)
 #: Rows of one meeting that one task compares with each other, times two.
