@@ -4,12 +4,13 @@ Pages of one host are laid out by one template.  Each page's DOM is reduced to a
 siblings of one signature (tag and class without digits) are one iterated node, with a digest
 of its text.  One page of each host is the reference; every other skeleton is aligned with
 it by simple tree matching, and each aligned node votes with its digest.  A node whose digest
-is the same on most pages is template; one whose text varies is a slot.  The wrapper of a
-host holds the template nodes and the slot with the most varying text.
+is the same on most pages is template; all others are slots.  The wrapper of a host holds the
+template nodes with their digests; a page loses such a node only where its text is that one.
+Pages of a host with equal text vote once, so copies of a page do not make it template.
 
 The text of a page is taken from its ``article`` elements, else from ``main``; where a page marks
-neither, from the node that aligns with the slot of its host's wrapper, without template
-nodes; on hosts with too few pages to tell, from the body.  Elements that are never content
+neither, all that is not a template node of its host's wrapper; on hosts with too few pages
+to tell, from the body.  Elements that are never content
 (menus, forms, adverts, comments, by tag, role or class) are left out everywhere.
 
 Each page is read twice; between the passes only skeletons, votes and wrappers exist, which
@@ -30,7 +31,6 @@ from hashlib import blake2b
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from streetloom.functions.markup import TolerantParser
 from streetloom.llm.common import staged
@@ -273,6 +273,13 @@ def tree_match(a: Bone, b: Bone) -> tuple[int, list[tuple[Bone, Bone]]]:
     return best[n][m] + 1, pairs
 
 
+def template_nodes(pairs: dict[int, Bone], wrapper: dict) -> set[int]:
+    """Ids of the elements of a page whose text is the one that its host repeats."""
+    known = {t["node"]: t["common"] for t in wrapper["template"]}
+    same = [b for k, b in pairs.items() if b.size and known.get(k) == b.digest]
+    return {id(n) for b in same for n in b.nodes}
+
+
 def content(root: Node, wrapper: dict | None) -> str:
     """The main text of a page."""
     tops = regions(root, "article") or regions(root, "main")
@@ -281,9 +288,7 @@ def content(root: Node, wrapper: dict | None) -> str:
     if wrapper is None:
         return "\n".join(blocks([root]))
     pairs = {b.number: a for a, b in tree_match(skeleton(root), from_list(wrapper["tree"]))[1]}
-    skip = {id(n) for k in wrapper["template"] if k in pairs for n in pairs[k].nodes}
-    slot = pairs.get(wrapper["slot"])
-    return "\n".join(blocks(slot.nodes if slot else [root], skip))
+    return "\n".join(blocks([root], template_nodes(pairs, wrapper)))
 
 
 def host_of(url):
@@ -294,9 +299,11 @@ def host_of(url):
 
 def _skeletons(batches):
     for batch in batches:
-        found = [json.dumps(as_list(skeleton(parse(h.as_py())))) for h in batch.column(1)]
+        found = [as_list(skeleton(parse(h.as_py()))) for h in batch.column(1)]
+        columns = [[f[1] for f in found], [json.dumps(f) for f in found]]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(found, pa.string())], names=["host", "tree"]
+            [batch.column(0), *(pa.array(c, pa.string()) for c in columns)],
+            names=["host", "whole", "tree"],
         )
 
 
@@ -317,7 +324,9 @@ def _votes(batches):
 def wrappers(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """One row per host: host and its wrapper as JSON (tree, template nodes, slot)."""
     rows = pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string"))
-    trees = staged(spark, rows.mapInArrow(_skeletons, "host string, tree string"), "skeletons")
+    trees = rows.mapInArrow(_skeletons, "host string, whole string, tree string")
+    trees = trees.groupBy("host", "whole").agg(F.min("tree").alias("tree"))
+    trees = staged(spark, trees, "skeletons")
     # the page with the smallest digest of its skeleton stands for its host
     reference = trees.groupBy("host").agg(
         F.min(F.struct(F.xxhash64("tree"), "tree")).alias("r")
@@ -331,23 +340,17 @@ def wrappers(spark: SparkSession, pages: DataFrame) -> DataFrame:
     )
     nodes = counts.groupBy("host", "node").agg(
         F.sum("n").alias("pages"), F.max("n").alias("same"), F.count(F.lit(1)).alias("texts"),
-        F.sum(F.col("chars") / F.col("n")).alias("varying"),
+        F.max_by("digest", F.struct("n", "digest")).alias("common"),
     ).where(F.col("pages") >= LEAST_PAGES)
     constant = (2 * F.col("same") > F.col("pages")) & (F.col("pages") > F.col("texts"))
     nodes = nodes.withColumn("constant", constant)
-    # the deepest node that still holds nearly all of the varying text
-    most = F.max(F.when(~F.col("constant"), F.col("varying"))).over(Window.partitionBy("host"))
-    nodes = nodes.withColumn("full", ~F.col("constant") & (F.col("varying") >= 0.8 * most))
     chosen = nodes.groupBy("host").agg(
-        F.sort_array(F.collect_list(F.when(F.col("constant"), F.col("node")))).alias("template"),
-        F.max(F.when(F.col("full"), F.col("node"))).alias("slot"),
+        F.collect_list(F.when(F.col("constant"), F.struct("node", "common"))).alias("template")
     )
-    return chosen.where("slot is not null").join(reference, "host").select(
+    return chosen.join(reference, "host").select(
         "host",
         F.concat(
-            F.lit('{"template": '), F.to_json("template"), F.lit(', "slot": '),
-            F.col("slot").cast("string"),
-            F.lit(', "tree": '), "reference", F.lit("}"),
+            F.lit('{"template": '), F.to_json("template"), F.lit(', "tree": '), "reference", F.lit("}"),
         ).alias("wrapper"),
     )
 

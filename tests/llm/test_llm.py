@@ -342,6 +342,24 @@ def test_html_extraction(spark):
     assert extracted(spark, pages.limit(0)).count() == 0
 
 
+def texts_of(spark, html, pages=8):
+    rows = [(k, f"http://c.example/{k}", html.replace("{0}", f"n{k}")) for k in range(pages)]
+    got = extracted(spark, spark.createDataFrame(rows, "page_id long, url string, html string"))
+    return {r["page_id"]: r["text"].split("\n") for r in got.collect()}
+
+
+def test_html_keeps_all_that_varies(spark):
+    page = (
+        "<body><div class=top>Site</div><h1>Title {0}</h1><div class=in><h2>Sub {0}</h2><p>" + "long {0} " * 40
+        + "</p><ul><li>item {0}</li></ul><table><tr><td>cell {0}</td></tr></table><pre>code {0}</pre></div>"
+        "<div class=end>Imprint</div>"
+    )
+    for k, lines in texts_of(spark, page).items():
+        assert lines[:2] == [f"Title n{k}", f"Sub n{k}"]
+        assert lines[3:] == [f"item n{k}", f"cell n{k}", f"code n{k}"]
+        assert lines[2] == f"long n{k} " * 39 + f"long n{k}"
+
+
 def test_pipeline(spark):
     rows, docs = awkward(spark)
     whole = spark.read.parquet(f"{SF_DIR}/documents.parquet")
