@@ -8,9 +8,11 @@ is the same on most pages is template; all others are slots.  The wrapper of a h
 template nodes with their digests; a page loses such a node only where its text is that one.
 Pages of a host with equal text vote once, so copies of a page do not make it template.
 
-The text of a page is taken from its ``article`` elements, else from ``main``; where a page marks
-neither, all that is not a template node of its host's wrapper; on hosts with too few pages
-to tell, from the body.  Elements that are never content
+The text of a page is all that is not template.  Where ``article`` elements, else ``main``,
+hold half of the varying text of a host, they alone are its slot; where they hold less
+(teasers), the whole body is.  On hosts with too few pages to tell it is taken from the
+page's ``article`` elements, else ``main``, else the body.
+Elements that are never content
 (menus, forms, adverts, comments, by tag, role or class) are left out everywhere.
 
 Each page is read twice; between the passes only skeletons, votes and wrappers exist, which
@@ -37,6 +39,8 @@ from streetloom.llm.common import staged
 
 #: A node is template or slot only if so many pages of the host aligned with it.
 LEAST_PAGES = 5
+#: Share of a host's varying text that marked elements hold where they are the slot.
+MARKED = 0.5
 #: Nodes below this depth belong to their ancestor there.
 DEEPEST = 40
 
@@ -282,13 +286,13 @@ def template_nodes(pairs: dict[int, Bone], wrapper: dict) -> set[int]:
 
 def content(root: Node, wrapper: dict | None) -> str:
     """The main text of a page."""
-    tops = regions(root, "article") or regions(root, "main")
-    if tops:
-        return "\n".join(blocks(tops))
     if wrapper is None:
-        return "\n".join(blocks([root]))
+        tops = regions(root, "article") or regions(root, "main") or [root]
+        return "\n".join(blocks(tops))
     pairs = {b.number: a for a, b in tree_match(skeleton(root), from_list(wrapper["tree"]))[1]}
-    return "\n".join(blocks([root], template_nodes(pairs, wrapper)))
+    inside = wrapper.get("inside")
+    tops = inside and regions(root, inside) or [root]
+    return "\n".join(blocks(tops, template_nodes(pairs, wrapper)))
 
 
 def host_of(url):
@@ -309,15 +313,16 @@ def _skeletons(batches):
 
 def _votes(batches):
     for batch in batches:
-        out: list = [[], [], [], []]
+        out: list = [[], [], [], [], []]
         for host, tree, reference in zip(*[c.to_pylist() for c in batch.columns], strict=True):
             _, pairs = tree_match(from_list(json.loads(tree)), from_list(json.loads(reference)))
             for own, other in pairs:
-                for column, value in zip(out, (host, other.number, own.digest, own.size), strict=True):
+                vote = (host, other.number, own.digest, own.size, other.sign.split(".")[0])
+                for column, value in zip(out, vote, strict=True):
                     column.append(value)
-        kinds = [pa.string(), pa.int32(), pa.string(), pa.int64()]
+        kinds = [pa.string(), pa.int32(), pa.string(), pa.int64(), pa.string()]
         yield pa.RecordBatch.from_arrays(
-            list(map(pa.array, out, kinds)), names=["host", "node", "digest", "size"]
+            list(map(pa.array, out, kinds)), names=["host", "node", "digest", "size", "tag"]
         )
 
 
@@ -333,24 +338,32 @@ def wrappers(spark: SparkSession, pages: DataFrame) -> DataFrame:
     ).select("host", F.col("r.tree").alias("reference"))
     reference = staged(spark, reference, "references")
     votes = trees.join(reference, "host").select("host", "tree", "reference").mapInArrow(
-        _votes, "host string, node int, digest string, size long"
+        _votes, "host string, node int, digest string, size long, tag string"
     )
-    counts = votes.groupBy("host", "node", "digest").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("size").alias("chars")
+    counts = votes.groupBy("host", "node", "digest", "tag").agg(
+        F.count(F.lit(1)).alias("n"), F.max("size").alias("chars")
     )
-    nodes = counts.groupBy("host", "node").agg(
+    nodes = counts.groupBy("host", "node", "tag").agg(
         F.sum("n").alias("pages"), F.max("n").alias("same"), F.count(F.lit(1)).alias("texts"),
-        F.max_by("digest", F.struct("n", "digest")).alias("common"),
+        F.sum("chars").alias("varying"), F.max_by("digest", F.struct("n", "digest")).alias("common"),
     ).where(F.col("pages") >= LEAST_PAGES)
     constant = (2 * F.col("same") > F.col("pages")) & (F.col("pages") > F.col("texts"))
+    # what marks the content is not template itself, and the whole of a page never is
+    constant = constant & ~F.col("tag").isin("article", "main", "html")
     nodes = nodes.withColumn("constant", constant)
     chosen = nodes.groupBy("host").agg(
-        F.collect_list(F.when(F.col("constant"), F.struct("node", "common"))).alias("template")
+        F.collect_list(F.when(F.col("constant"), F.struct("node", "common"))).alias("template"),
+        *[F.coalesce(F.sum(F.when(F.col("tag") == t, F.col("varying"))), F.lit(0)).alias(f"{t}_text")
+          for t in ("html", "article", "main")],
     )
+    inside = [F.when(F.col(f"{t}_text") >= F.greatest(MARKED * F.col("html_text"), F.lit(1)), F.lit(t))
+              for t in ("article", "main")]
+    chosen = chosen.withColumn("inside", F.coalesce(*inside, F.lit("")))
     return chosen.join(reference, "host").select(
         "host",
         F.concat(
-            F.lit('{"template": '), F.to_json("template"), F.lit(', "tree": '), "reference", F.lit("}"),
+            F.lit('{"template": '), F.to_json("template"), F.lit(', "inside": "'),
+            "inside", F.lit('", "tree": '), "reference", F.lit("}"),
         ).alias("wrapper"),
     )
 

@@ -360,6 +360,17 @@ def test_html_keeps_all_that_varies(spark):
         assert lines[2] == f"long n{k} " * 39 + f"long n{k}"
 
 
+def test_html_wrapper_decides_on_marked_pages(spark):
+    teasers = "<article class=card>see {0}</article>" * 2
+    page = "<body><div class=top>Site</div><div class=in><p>" + "own {0} " * 30 + f"</p></div>{teasers}"
+    for k, lines in texts_of(spark, page).items():
+        assert lines == [f"own n{k} " * 29 + f"own n{k}", f"see n{k}", f"see n{k}"]
+    page = "<body><div class=x>out {0}</div><article><p>own text {0}</p><div class=y>Read on our site</div></article>"
+    for k, lines in texts_of(spark, page).items():
+        assert lines == [f"own text n{k}"]
+    assert texts_of(spark, page.replace("{0}", "same"))[3] == ["own text same", "Read on our site"]
+
+
 def test_pipeline(spark):
     rows, docs = awkward(spark)
     whole = spark.read.parquet(f"{SF_DIR}/documents.parquet")
