@@ -12,8 +12,10 @@ The text of a page is all that is not template.  Where ``article`` elements, els
 hold half of the varying text of a host, they alone are its slot; where they hold less
 (teasers), the whole body is.  On hosts with too few pages to tell it is taken from the
 page's ``article`` elements, else ``main``, else the body.
-Elements that are never content
-(menus, forms, adverts, comments, by tag, role or class) are left out everywhere.
+Elements that are never content by
+their tag (menus, scripts, footers) are left out everywhere.  Forms and elements that a role or
+a whole word of class or id calls no content (adverts, comments) are left out too, but not if
+they hold all ``article`` and ``main`` elements of the page, or nearly all varying text of its host.
 
 Each page is read twice; between the passes only skeletons, votes and wrappers exist, which
 are small beside the pages, and votes are added up before they are shuffled.  A host with a
@@ -41,6 +43,8 @@ from streetloom.llm.common import staged
 LEAST_PAGES = 5
 #: Share of a host's varying text that marked elements hold where they are the slot.
 MARKED = 0.5
+#: An element that seems to be no content is layout if it holds so many times the other text.
+LAYOUT = 4
 #: Nodes below this depth belong to their ancestor there.
 DEEPEST = 40
 
@@ -51,7 +55,7 @@ INLINE = set(
 )
 #: Never content, wherever they stand.
 DROPPED = set(
-    "script style noscript template nav footer aside form button select textarea input iframe "
+    "script style noscript template nav footer aside button select textarea input iframe "
     "object svg canvas audio video dialog menu head title".split()
 )
 #: A start tag of the key closes an open element of the values.
@@ -64,7 +68,7 @@ WALLS = set("table ul ol dl div section article main body td th blockquote".spli
 DROPPED_ROLES = set(
     "navigation banner contentinfo complementary search form dialog alert menu menubar".split()
 )
-#: Words of class and id values that mark elements as not content.
+#: Class and id values, without digits, that mark elements as not content.
 DROPPED_NAMES = set(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo cookie cookies "
     "consent gdpr notice notices alert popup modal overlay newsletter subscribe signup sidebar "
@@ -78,22 +82,29 @@ _NAME = re.compile(r"[a-z]+")
 class Node:
     """An element; ``parts`` holds texts and child elements in page order."""
 
-    __slots__ = ("tag", "name", "dropped", "parts")
+    __slots__ = ("tag", "name", "dropped", "doubtful", "parts")
 
-    def __init__(self, tag: str, name: str = "", dropped: bool = False):
-        self.tag, self.name, self.dropped, self.parts = tag, name, dropped, []
+    def __init__(self, tag: str, name: str = "", dropped: bool = False, doubtful: bool = False):
+        self.tag, self.name, self.parts = tag, name, []
+        self.dropped, self.doubtful = dropped or doubtful, doubtful and not dropped
 
 
 def _is_dropped(tag: str, attrs: dict) -> bool:
     if tag in DROPPED or "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true":
         return True
-    if (attrs.get("role") or "").lower() in DROPPED_ROLES:
-        return True
-    if tag in ("html", "body", "article", "main") and attrs.get("role") != "comment":
+    if tag in ("article", "main"):
         names = _NAME.findall((attrs.get("class") or "").lower())
-        return tag in ("article", "main") and bool({"comment", "reply"} & set(names))
-    names = _NAME.findall(f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower())
-    return bool(DROPPED_NAMES.intersection(names))
+        return bool({"comment", "reply"} & set(names))
+    return False
+
+
+def _is_doubtful(tag: str, attrs: dict) -> bool:
+    if tag == "form" or (attrs.get("role") or "").lower() in DROPPED_ROLES:
+        return True
+    if tag in ("html", "body", "article", "main"):
+        return False
+    names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower().split()
+    return not DROPPED_NAMES.isdisjoint(n.rstrip("0123456789").rstrip("-_") for n in names)
 
 
 class _Reader(TolerantParser):
@@ -118,7 +129,7 @@ class _Reader(TolerantParser):
                     break
         values = dict(attrs)
         name = re.sub(r"\d+", "", values.get("class") or "")
-        node = Node(tag, " ".join(sorted(name.split())), _is_dropped(tag, values))
+        node = Node(tag, " ".join(sorted(name.split())), _is_dropped(tag, values), _is_doubtful(tag, values))
         self.open[-1].parts.append(node)
         if tag not in VOID:
             self.open.append(node)
@@ -145,12 +156,32 @@ def parse(html: str | None) -> Node:
     reader = _Reader()
     reader.feed(html or "")
     reader.close()
+    if not (regions(reader.root, "article") or regions(reader.root, "main")):
+        keep_around(reader.root)
     return reader.root
 
 
+def keep_around(root: Node) -> None:
+    """Keep the doubtful elements that hold an article or main element."""
+    stack = [(root, ())]
+    while stack:
+        node, above = stack.pop()
+        if node.dropped and not node.doubtful:
+            continue
+        if node.tag in ("article", "main"):
+            for outer in above:
+                outer.dropped = False
+            continue
+        above = (*above, node) if node.dropped else above
+        stack += [(p, above) for p in node.parts if isinstance(p, Node)]
+
+
 def walk(top: Node, skip=frozenset()):
-    """Texts and block edges (None) in page order, without dropped elements and ``skip``."""
-    stack = [iter((top,))]
+    """Texts and block edges (None) in page order, without dropped elements and ``skip``.
+
+    ``top`` itself is read even if it is dropped.
+    """
+    stack = [iter(top.parts if top.dropped else (top,))]
     ends: list = []
     while stack:
         part = next(stack[-1], stack)
@@ -227,8 +258,11 @@ def skeleton(root: Node) -> Bone:
         kinds: dict[str, list[Node]] = {}
         for node in bone.nodes:
             for part in node.parts:
-                if isinstance(part, Node) and not part.dropped and part.tag not in INLINE:
-                    kinds.setdefault(f"{part.tag}.{part.name}", []).append(part)
+                if not isinstance(part, Node) or part.tag in INLINE:
+                    continue
+                if not part.dropped or part.doubtful:
+                    mark = "!." if part.dropped else ""
+                    kinds.setdefault(f"{mark}{part.tag}.{part.name}", []).append(part)
         bone.sons = [Bone(sign, nodes) for sign, nodes in kinds.items()]
         todo += [(b, depth + 1) for b in reversed(bone.sons)]
     return top
@@ -277,6 +311,20 @@ def tree_match(a: Bone, b: Bone) -> tuple[int, list[tuple[Bone, Bone]]]:
     return best[n][m] + 1, pairs
 
 
+def around(top: Bone, chosen: set[int]) -> set[int]:
+    """The numbers ``chosen`` and those of all nodes that hold one of them."""
+    found: set[int] = set()
+
+    def visit(bone):
+        held = [visit(son) for son in bone.sons]
+        if any(held) or bone.number in chosen:
+            found.add(bone.number)
+        return bone.number in found
+
+    visit(top)
+    return found
+
+
 def template_nodes(pairs: dict[int, Bone], wrapper: dict) -> set[int]:
     """Ids of the elements of a page whose text is the one that its host repeats."""
     known = {t["node"]: t["common"] for t in wrapper["template"]}
@@ -290,7 +338,12 @@ def content(root: Node, wrapper: dict | None) -> str:
         tops = regions(root, "article") or regions(root, "main") or [root]
         return "\n".join(blocks(tops))
     pairs = {b.number: a for a, b in tree_match(skeleton(root), from_list(wrapper["tree"]))[1]}
-    inside = wrapper.get("inside")
+    layout = around(from_list(wrapper["tree"]), set(wrapper["layout"]))
+    for k in layout & pairs.keys():
+        for node in pairs.pop(k).nodes:
+            if node.doubtful:
+                node.dropped = False
+    inside = wrapper["inside"]
     tops = inside and regions(root, inside) or [root]
     return "\n".join(blocks(tops, template_nodes(pairs, wrapper)))
 
@@ -353,16 +406,25 @@ def wrappers(spark: SparkSession, pages: DataFrame) -> DataFrame:
     nodes = nodes.withColumn("constant", constant)
     chosen = nodes.groupBy("host").agg(
         F.collect_list(F.when(F.col("constant"), F.struct("node", "common"))).alias("template"),
+        F.collect_list(
+            F.when((F.col("tag") == "!") & ~F.col("constant"), F.struct("node", "varying"))
+        ).alias("doubtful"),
         *[F.coalesce(F.sum(F.when(F.col("tag") == t, F.col("varying"))), F.lit(0)).alias(f"{t}_text")
           for t in ("html", "article", "main")],
     )
     inside = [F.when(F.col(f"{t}_text") >= F.greatest(MARKED * F.col("html_text"), F.lit(1)), F.lit(t))
               for t in ("article", "main")]
+    # (an element in doubt is not part of the text of those around it)
+    layout = F.filter(
+        "doubtful", lambda x: x["varying"] >= LAYOUT * F.greatest("html_text", F.lit(1))
+    )
+    chosen = chosen.withColumn("layout", F.transform(layout, lambda x: x["node"]))
     chosen = chosen.withColumn("inside", F.coalesce(*inside, F.lit("")))
     return chosen.join(reference, "host").select(
         "host",
         F.concat(
-            F.lit('{"template": '), F.to_json("template"), F.lit(', "inside": "'),
+            F.lit('{"template": '), F.to_json("template"), F.lit(', "layout": '),
+            F.to_json("layout"), F.lit(', "inside": "'),
             "inside", F.lit('", "tree": '), "reference", F.lit("}"),
         ).alias("wrapper"),
     )

@@ -371,6 +371,17 @@ def test_html_wrapper_decides_on_marked_pages(spark):
     assert texts_of(spark, page.replace("{0}", "same"))[3] == ["own text same", "Read on our site"]
 
 
+def test_html_names_do_not_drop_layout(spark):
+    inner = "<article><p>own {0}</p><div class=share-prices>prices {0}</div><div class='ad'>buy {0}</div></article>"
+    for outer in ("<div class='layout has-sidebar'>", "<div class='page menu'>", "<form>", "<div id=comments-open>"):
+        for pages in (2, 8):
+            for k, lines in texts_of(spark, f"<body>{outer}{inner}", pages).items():
+                assert lines == [f"own n{k}", f"prices n{k}"], outer
+    page = "<body><h1>{0}</h1><form><div class=sidebar><p>" + "own {0} " * 30 + "</p><div class=ad>buy {0}</div></div></form>"
+    for k, lines in texts_of(spark, page).items():
+        assert lines == [f"n{k}", f"own n{k} " * 29 + f"own n{k}"]
+
+
 def test_pipeline(spark):
     rows, docs = awkward(spark)
     whole = spark.read.parquet(f"{SF_DIR}/documents.parquet")
