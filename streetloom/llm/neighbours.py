@@ -8,6 +8,7 @@ A query reads the lists whose centroid's distance is within a ratio of the neare
 Long lists are cut into parts, and so are the queries of a list; every task compares one
 part of each.  Scores are computed on the original vectors in double precision, by one
 formula for every pair, so equal vectors tie exactly and the smaller vec_id comes first.
+Queries with fewer than k answers are compared with all rows, in blocks.
 
 Bounds: the sample and the centroids are broadcast; their numbers are `SAMPLE_PER_LIST` and
 `MOST_LISTS` at most.  Every valid vector is in a list, whatever the sample.
@@ -37,7 +38,8 @@ SAMPLE_PER_LIST = 20
 BEAM = 32
 #: Distance ratio up to which a vector is replicated, and the largest number of its lists.
 BOUNDARY, REPLICAS = 1.1, 4
-#: Distance ratio up to which a query reads lists, and candidates it reads in any case.
+#: Distance ratio up to which a query reads lists, and candidates it reads in any case beside
+#: further rows of its own vec_id.
 REACH, LEAST_READ = 1.35, 64
 #: Rows of a list and of its queries that one task compares.
 LIST_PART, QUERY_PART = 4096, 512
@@ -158,7 +160,10 @@ def valid_vectors(table: DataFrame) -> DataFrame:
 
 
 def _postings(rows: DataFrame, index, ratio: float, most: int, sizes=None) -> DataFrame:
-    """Rows with ``list``: one per list that a vector goes to (or, with sizes, reads)."""
+    """Rows with ``list``: one per list that a vector goes to (or, with sizes, reads).
+
+    With sizes, a fourth column ``own`` counts the rows of the query's vec_id.
+    """
 
     def run(batches):
         graph, counts = index.value, None if sizes is None else sizes.value
@@ -172,11 +177,13 @@ def _postings(rows: DataFrame, index, ratio: float, most: int, sizes=None) -> Da
                 use[:, most:] = False
                 if counts is not None:
                     read = np.cumsum(counts[ids], axis=1)
-                    use |= np.hstack([np.ones((len(x), 1), bool), read[:, :-1] < LEAST_READ])
+                    own = np.asarray(part.column(3))[:, None]
+                    least = LEAST_READ + REPLICAS * np.maximum(own - 1, 0)
+                    use |= np.hstack([np.ones((len(x), 1), bool), read[:, :-1] < least])
                 r, c = np.nonzero(use)
                 taken = part.take(pa.array(r, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [*taken.columns, pa.array(ids[r, c], pa.int64())],
+                    [*taken.columns[:3], pa.array(ids[r, c], pa.int64())],
                     names=["rid", "vec_id", "v", "list"],
                 )
 
@@ -236,7 +243,11 @@ def nearest(
     counts = np.zeros(len(graph.points), np.int64)
     for row in sizes.toLocalIterator():  # one row per centroid, their number is bounded
         counts[row["list"]] = row["n"]
-    read = _postings(asked, index, REACH, BEAM, spark.sparkContext.broadcast(counts))
+    own = rows.groupBy("vec_id").agg(F.count(F.lit(1)).alias("own"))
+    counted = asked.join(own, "vec_id", "left").select(
+        "rid", "vec_id", "v", F.coalesce("own", F.lit(0)).alias("own")
+    )
+    read = _postings(counted, index, REACH, BEAM, spark.sparkContext.broadcast(counts))
     read = staged(spark, read, "reads")
     reads = read.groupBy("list").agg(F.count(F.lit(1)).alias("m"))
     cuts = sizes.join(reads, "list").select(
@@ -260,7 +271,30 @@ def nearest(
             return pd.DataFrame(columns=["q_rid", "query_id", "rid", "vec_id", "score"])
         return _best(query, vectors, k)
 
-    found = left.cogroup(right).applyInPandas(compare, result).distinct()
+    found = staged(spark, left.cogroup(right).applyInPandas(compare, result).distinct(), "found")
+    answers = found.groupBy(F.col("q_rid").alias("rid")).agg(F.count(F.lit(1)).alias("m"))
+    short = staged(spark, asked.join(answers, "rid", "left").where(f"coalesce(m, 0) < {k}"), "short")
+    # equal queries are compared once
+    once = short.groupBy("vec_id", "v").agg(F.min("rid").alias("rid"))
+    once = staged(spark, once.select("rid", "vec_id", "v"), "once")
+    asks = once.count()
+    if asks:
+        blocks, parts = -(-asks // QUERY_PART), -(-n // LIST_PART)
+
+        def spread(df, own, own_count, other, other_count):
+            df = df.withColumn(own, F.pmod(F.xxhash64("rid"), F.lit(own_count)).cast("int"))
+            return df.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(other_count - 1))))
+
+        left = spread(once, "block", blocks, "part", parts).groupBy("part", "block")
+        right = spread(rows, "part", parts, "block", blocks).groupBy("part", "block")
+        exact = left.cogroup(right).applyInPandas(compare, result)
+        same = short.select(F.col("rid").alias("__rid"), "vec_id", "v").join(
+            once.select(F.col("rid").alias("q_rid"), "vec_id", "v"), ["vec_id", "v"]
+        ).select("__rid", "q_rid")
+        exact = exact.join(same, "q_rid").select(
+            F.col("__rid").alias("q_rid"), "query_id", "rid", "vec_id", "score"
+        )
+        found = found.unionByName(exact).dropDuplicates(["q_rid", "rid"])
     order = Window.partitionBy("q_rid").orderBy(F.desc("score"), "vec_id", "rid")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

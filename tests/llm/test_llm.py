@@ -303,6 +303,17 @@ def test_neighbours_recall_and_ties(spark):
     assert [r["rank"] for r in few] == [1, 2, 3]
 
 
+def test_neighbours_of_a_repeated_row(spark):
+    x = np.random.default_rng(6).normal(size=(600, 16))
+    rows = [(i, x[i].tolist()) for i in range(600)] + [(7, x[7].tolist())] * 400
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = nearest(spark, table, table.where("vec_id = 7").limit(3)).collect()
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    want = [i for i in np.argsort(-(unit @ unit[7])).tolist() if i != 7][:5]
+    assert len(got) == 15
+    assert all(r["vec_id"] == want[r["rank"] - 1] for r in got)
+
+
 def test_language_model_beats_unigrams(spark):
     rng = random.Random(6)
     chain = {k: rng.sample(range(30), 3) for k in range(30)}
