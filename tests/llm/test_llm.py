@@ -304,7 +304,8 @@ def test_neighbours_recall_and_ties(spark):
 
 
 def test_neighbours_of_a_repeated_row(spark):
-    x = np.random.default_rng(6).normal(size=(600, 16))
+    x = np.abs(np.random.default_rng(6).normal(size=(600, 16)))
+    x[7] *= -1  # far from all others, so that no list of its centroids holds them
     rows = [(i, x[i].tolist()) for i in range(600)] + [(7, x[7].tolist())] * 400
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = nearest(spark, table, table.where("vec_id = 7").limit(3)).collect()
