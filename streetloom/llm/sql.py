@@ -140,3 +140,75 @@ select doc_id, coalesce(n_assign, 0) n_assign, coalesce(n_access, 0) n_access, c
   sha256(coalesce(base, '')) base_sha256, coalesce(s, '') spans
 from d left join lists using (rid)
 """
+
+_UNITS = r"regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+')"
+_DRAWS = ", ".join(f"('0x' || substr(s, {1 + 8 * i}, 8))::bigint h{i + 1}" for i in range(4))
+
+FILL_IN_MIDDLE = f"""
+with texts as (select doc_id, coalesce(text, '') t, sha256('42:' || coalesce(doc_id::varchar, '')) s from documents),
+units as (select *, {_UNITS} u, {_DRAWS} from texts),
+drawn as (select *, len(u) n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) a,
+  greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) b from units),
+cut as (select doc_id, n, t, array_to_string(u[1 : a], '') p, array_to_string(u[a + 1 : b], '') m,
+  array_to_string(u[b + 1 : n], '') q,
+  case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 50 then 'plain'
+    when h4 % 100 < 80 then 'spm' else 'psm' end form from drawn)
+select doc_id, n::bigint n, form, case when form <> 'plain' then length(p) end prefix_chars,
+  case when form <> 'plain' then length(m) end middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || q || '<M>' || m
+    else '<S>' || q || '<P>' || p || '<M>' || m end) output_sha256, sha256(t) restored_sha256
+from cut
+"""
+
+
+def _leaf(text: str) -> str:
+    values = ["doc_id", "source", "lang", "n_chars", text]
+    fields = [f"coalesce(strlen({v}::varchar) || ':' || {v}::varchar, '-')" for v in values]
+    return f"sha256({' || '.join(fields)})"
+
+
+def _nodes(name: str, leaves: str) -> str:
+    return f"""
+{name} as (select tree, 0 as level, idx, size, digest from {leaves}
+  union all
+  select tree, level + 1, idx // 8, (size + 7) // 8, sha256(string_agg(digest, '' order by idx))
+  from {name} where size > 1 group by tree, level, idx // 8, size)"""
+
+
+def _paths(name: str, leaves: str, nodes: str) -> str:
+    own = "l.idx // (8 ** n.level)::bigint"
+    return f"""
+{name} as (select l.tree, l.idx, n.level, [coalesce(string_agg(n.digest, '' order by n.idx) filter (n.idx < {own}), ''),
+    coalesce(string_agg(n.digest, '' order by n.idx) filter (n.idx > {own}), '')] sides
+  from {leaves} l join {nodes} n on l.tree = n.tree and n.size > 1 and n.idx // 8 = {own} // 8
+  group by l.tree, l.idx, n.level)"""
+
+
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(
+  range(1, length(doc_id::varchar) + 1), lambda i: [ascii(substr(doc_id::varchar, i, 1))::bigint, 0, 0, 0, 0, 0, 0, 0]))),
+  lambda c, x: case when xor(c, x) & 1 = 1 then xor(xor(c, x) >> 1, 3988292384) else xor(c, x) >> 1 end), 4294967295::bigint)"""
+
+MERKLE_MANIFEST = f"""
+with recursive docs as (select doc_id, coalesce('=' || lang, '-') tree, {_leaf('text')} digest,
+  case when {_CRC32} % 3 = 0 then {_leaf(_LOWERED)} end forged from documents),
+leaves as (select *, row_number() over (partition by tree order by doc_id nulls first, digest) - 1 as idx,
+  count(*) over (partition by tree) size from docs),
+{_nodes('nodes', 'leaves')},
+tops as (select '' as tree, row_number() over (order by tree) - 1 as idx, count(*) over () size, digest, tree as of_tree
+  from nodes where size = 1),
+{_nodes('upper_nodes', 'tops')},
+root as (select digest as root from upper_nodes where size = 1),
+{_paths('low', 'leaves', 'nodes')},
+{_paths('high', 'tops', 'upper_nodes')},
+steps as (select tree, idx, level, sides from low
+  union all select l.tree, l.idx, 100 + h.level, h.sides from leaves l join tops t on t.of_tree = l.tree
+    join high h on h.idx = t.idx),
+proofs as (select tree, idx, list(sides order by level) path from steps group by tree, idx),
+folded as (select l.doc_id, l.digest leaf, t.digest subroot, root,
+  sha256(array_to_string(list_transform(coalesce(path, []), lambda s: s[1] || s[2]), '')) proof_sha256,
+  list_reduce(list_prepend([coalesce(forged, l.digest), ''], coalesce(path, [])),
+    lambda a, s: [sha256(s[1] || a[1] || s[2]), ''])[1] folded_root
+  from leaves l join tops t on t.of_tree = l.tree cross join root left join proofs p on p.tree = l.tree and p.idx = l.idx)
+select *, folded_root = root verified from folded
+"""
