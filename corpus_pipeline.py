@@ -16,7 +16,7 @@ from streetloom.llm.line_dedup import deduplicated_documents
 from streetloom.llm.mixing import mixed_documents
 from streetloom.llm.quality import good_documents
 from streetloom.llm.queries import byte_bpe
-from streetloom.llm.simhash import dissimilar_documents
+from streetloom.llm.simhash import representative_documents
 
 
 _LAST: list[str] = []
@@ -55,8 +55,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts whose 5-word shingles are similar by 0.8 or more."""
-    return dissimilar_documents(spark, docs)
+    """One document of each group of texts whose SimHash fingerprints link."""
+    return representative_documents(spark, docs)
 
 
 @_stage
