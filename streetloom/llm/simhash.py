@@ -9,18 +9,10 @@ inequality, two nodes whose distances to any pivot differ by more than three can
 Pairs that survive all pivots are verified on the bits.  Large meetings are cut into blocks
 of bounded size; each task returns only a spanning forest of the links it found.
 
-The pipeline's stage has another contract: texts whose sets of 5-word shingles have a Jaccard
-similarity of 0.8 or more.  Equal sets are one node.  Two such sets share one of the shingles
-of smallest hash (a fifth of each set, and one), so nodes meet under these and nothing is
-lost.  Pairs whose fingerprints differ in more than `STAGE_RADIUS` bits, or that share too few
-of these shingles for their sizes, are discarded, the rest is compared shingle by shingle.
-At this radius no pivot can discard a pair (a gap of 28 is five standard deviations of the
-difference), so the stage makes no pivot tables.
-
 Defined results: a null or empty text (or one without words) has the fingerprint zero; a
-text of one or two words (in the stage: of up to four) has one shingle; null doc_ids count only when a component has no
+text of one or two words has one shingle; null doc_ids count only when a component has no
 other (its component_id is then null); repeated rows are returned each; an empty table gives
-an empty result.
+an empty result.  The pipeline's stage keeps the row of smallest doc_id of each component.
 """
 
 from __future__ import annotations
@@ -43,10 +35,6 @@ HASH_SEED = 42
 RADIUS = 3
 #: First bit and width of the blocks; any linked pair is equal on three of six.
 BLOCKS = [(0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10)]
-#: Words of a shingle in the pipeline's stage, its bits, and the similarity it asks for as a
-#: fraction.  Sets that reach it differ in more bits with a chance of about one in a million at most.
-STAGE_SHINGLE, STAGE_RADIUS = 5, 28
-ALIKE = (4, 5)
 #: Rows of one meeting that one task compares with each other, times two.
 MEETING = 2048
 #: Reference fingerprints, drawn from a fixed seed.
@@ -212,158 +200,3 @@ def representative_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     best = best.groupBy("root").agg(F.min("first").alias("first")).select("first.__rid")
     # the table of survivors grows with the corpus and is never broadcast
     return restored(rows.join(best.hint("merge"), "__rid", "left_semi"), names[: len(docs.columns)])
-
-
-def shingle_set(body: bytes | None) -> np.ndarray:
-    """The distinct shingle hashes of a text in the pipeline's stage, in order."""
-    return np.unique(shingle_hashes(body, STAGE_SHINGLE))
-
-
-def _set_nodes(bodies: pd.Series) -> pd.Series:
-    return pd.Series(
-        [xxhash.xxh64_intdigest(shingle_set(b).tobytes()) for b in bodies], dtype="uint64"
-    ).astype("int64")
-
-
-def _heads(batches):
-    """(key, node, size, fp): the shingles of smallest hash of each node."""
-    for batch in batches:
-        found: list = [[np.zeros(0, np.int64)] for _ in range(4)]
-        for node, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            own = shingle_set(body.as_py())
-            n = len(own)
-            head = own[: n + (-n * ALIKE[0] // ALIKE[1]) + 1].view(np.int64) if n else own[:0]
-            for column, value in zip(found, (head, node, n, majority(own) if n else 0), strict=True):
-                column.append(head if value is head else np.full(len(head), value, np.int64))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(c).astype(np.int64)) for c in found],
-            names=["key", "node", "size", "fp"],
-        )
-
-
-def _met(batches):
-    """(u, v, need): pairs in the meetings of a sorted partition that sizes and bits leave open.
-
-    Nodes of these sizes that meet less than ``need`` times are not alike.
-    """
-    names = ["key", "i", "j", "size", "own", "node", "fp"]
-    top, bottom = ALIKE
-    kept: list = []
-
-    def solve(meeting, i, j, size, own, node, fp):
-        out = [np.zeros((3, 0), np.int64)]
-        at, shift = np.arange(len(fp)), 0
-        while len(at):
-            shift += 1
-            at = at[at + shift < len(fp)]
-            # by size: behind the first partner that is too long all are
-            at = at[meeting[at] == meeting[at + shift]]
-            at = at[top * size[at + shift] <= bottom * size[at]]
-            a, b = at, at + shift
-            # pairs of one block are compared in its own meeting only
-            near = (own[a] == own[b]) == (i[a] == j[a])
-            near &= np.bitwise_count(fp[a] ^ fp[b]) <= STAGE_RADIUS
-            a, b = a[near], b[near]
-            shared = -(-top * (size[a] + size[b]) // (top + bottom))
-            outside = -(-top * size[b] // bottom) - 1  # of the longer one's shingles
-            out.append(
-                np.stack([np.maximum(node[a], node[b]), np.minimum(node[a], node[b]), shared - outside])
-            )
-        found = np.concatenate(out, axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["u", "v", "need"])
-
-    def solved(columns):
-        key, i, j, *rest, fp = columns
-        new = np.r_[True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]
-        return new, lambda end: solve(
-            np.cumsum(new)[:end], i[:end], j[:end], *(x[:end] for x in rest), fp[:end].view(np.uint64)
-        )
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [np.asarray(batch.column(c)).astype(np.int64) for c in names]
-        columns = [np.concatenate(x) for x in zip(*kept, columns, strict=True)]
-        new, pairs = solved(columns)
-        start = int(np.flatnonzero(new)[-1])
-        if start:
-            yield pairs(start)
-        kept = [[x[start:] for x in columns]]
-    if kept:
-        yield solved(kept[0])[1](None)
-
-
-def _open_pairs(rows: DataFrame, size: int = MEETING) -> DataFrame:
-    """(u, v): pairs of nodes in ``rows`` (node, __text) that may be alike."""
-    keyed = rows.select("node", F.col("__text").cast("binary")).mapInArrow(
-        _heads, "key long, node long, size long, fp long"
-    )
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = keyed.join(shared, "key").withColumn("cuts", F.ceil(F.col("n") / size).cast("int"))
-    met = met.withColumn("own", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
-    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-    met = met.select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        "size", "own", "node", "fp",
-    )
-    by = ["key", "i", "j"]
-    met = met.repartition(*by).sortWithinPartitions(*by, "size", "node")
-    pairs = met.mapInArrow(_met, "u long, v long, need long").groupBy("u", "v")
-    return pairs.agg(F.count(F.lit(1)).alias("n"), F.max("need").alias("need")).where(
-        "n >= need"
-    ).select("u", "v")
-
-
-def _alike(batches):
-    """(u, v) of the pairs whose shingle sets are as similar as the stage asks for."""
-    for batch in batches:
-        keep = []
-        for a, b in zip(batch.column(2), batch.column(3), strict=True):
-            a, b = shingle_set(a.as_py()), shingle_set(b.as_py())
-            common = len(np.intersect1d(a, b, assume_unique=True))
-            keep.append(sum(ALIKE) * common >= ALIKE[0] * (len(a) + len(b)))
-        yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-
-def _alike_classes(spark: SparkSession, nodes: DataFrame) -> DataFrame:
-    """(node, root) of all ``nodes`` (node, __text); those linked by alike pairs share a root."""
-    texts = nodes.select("node", F.col("__text").cast("binary").alias("text"))
-    pairs = staged(spark, _open_pairs(nodes), "pairs")
-
-    def checked(found):
-        for end in ("u", "v"):
-            other = texts.select(F.col("node").alias(end), F.col("text").alias(f"{end}_text"))
-            found = found.join(other, end)
-        return found.select("u", "v", "u_text", "v_text").mapInArrow(_alike, "u long, v long")
-
-    # one pair of each node first: pairs inside the components that these make need no check
-    first = staged(spark, checked(pairs.groupBy("u").agg(F.min("v").alias("v"))), "alike")
-    roots = staged(spark, components(spark, first), "roots")
-    rest = pairs
-    for end in ("u", "v"):
-        own = roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
-        rest = rest.join(own, end, "left")
-    rest = rest.where(F.coalesce("u_root", "u") != F.coalesce("v_root", "v")).select("u", "v")
-    linked = first.unionByName(staged(spark, checked(rest), "alike"))
-    roots = components(spark, linked)
-    return nodes.select("node").join(roots, "node", "left").select(
-        "node", F.coalesce("root", "node").alias("root")
-    )
-
-
-def dissimilar_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """One document of each group of alike texts, the one of smallest doc_id, with all columns."""
-    renamed, names = qualified(docs.select(*docs.columns, "text", "doc_id"))
-    text, doc_id = f"__in{len(docs.columns)}", f"__in{len(docs.columns) + 1}"
-    rows = renamed.withColumn("node", F.pandas_udf(_set_nodes, "long")(F.col(text).cast("binary")))
-    rows = staged(spark, rows.drop(text).withColumn("__rid", F.monotonically_increasing_id()), "sets")
-    first = F.min(F.struct(F.col(doc_id).isNull(), doc_id, "__rid"))
-    best = staged(spark, rows.groupBy("node").agg(first.alias("first")), "first")
-    own_text = f"__in{docs.columns.index('text')}"
-    ids = best.select("first.__rid").hint("merge")
-    nodes = rows.join(ids, "__rid", "left_semi").select("node", F.col(own_text).alias("__text"))
-    roots = _alike_classes(spark, staged(spark, nodes, "nodes"))
-    kept = best.join(roots, "node").groupBy("root").agg(F.min("first").alias("first"))
-    # the table of survivors grows with the corpus and is never broadcast
-    kept = kept.select("first.__rid").hint("merge")
-    return restored(rows.join(kept, "__rid", "left_semi"), names[: len(docs.columns)])

@@ -155,32 +155,19 @@ def test_simhash_brute_force(spark):
 
 def test_near_dedup_stage_brute_force(spark):
     rng = random.Random(8)
-    texts = [None, "", " ", "a b", "A  b", "a b c"]
-    for n in (7, 12, 40, 150, 600):
-        for k in range(6):
-            text = [rng.choice("abcdefghijklmnop") + str(rng.randrange(90)) for _ in range(n)]
-            texts.append(" ".join(text))
-            for changes in range(1, 5):
-                for _ in range(1 + n // 60):
-                    text[rng.randrange(n)] = f"z{rng.randrange(10**6)}"
-                texts.append(" ".join(text[: n - k % 3]))
-    spread = list(enumerate(texts))
-    rng.shuffle(spread)
-    docs = spark.createDataFrame([(i, t) for i, t in spread], "doc_id long, text string").repartition(3)
-    sets = []
-    for t in texts:
-        w = words(t)
-        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
-    root = list(range(len(texts)))
-    alike = 0
-    for i, a in enumerate(sets):
-        for j in range(i):
-            if a == sets[j] or 9 * len(a & sets[j]) >= 4 * (len(a) + len(sets[j])):
-                alike += a != sets[j]
-                root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
-    got = corpus_pipeline.near_dedup(spark, docs, SF_DIR).collect()
-    assert sorted(r["doc_id"] for r in got) == sorted(set(root))
-    assert alike > 50 and len(set(root)) < len(representative_documents(spark, docs).collect())
+    base = [f"t{i}" for i in range(300)]
+    rows = [(k, t, "en", "a", 0, k, 0) for k, t in enumerate(["a b", "A  b", "a b c", "x y z v"])]
+    for k in range(10, 130):
+        w = list(base) if k % 3 else [f"{k} {i}" for i in range(200)]
+        for _ in range(rng.randint(0, 9)):
+            w[rng.randrange(200)] = f"z{rng.randrange(50)}"
+        rows.append((k, " ".join(w), "en", "a", 0, k, 0))
+    docs = spark.createDataFrame(rng.sample(rows * 2, 2 * len(rows)), DOCS).repartition(3)
+    want = {component for _, _, component in brute_components(rows)}
+    got = corpus_pipeline.near_dedup(spark, docs, SF_DIR)
+    assert got.columns == docs.columns
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(want)
+    assert len(want) < 100
 
 
 @pytest.mark.parametrize("seed", range(6))
