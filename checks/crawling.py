@@ -495,28 +495,45 @@ def scan_errors(spark, sf):
     return archive.scan_errors(archive.scan_archives(listed, root)).select("file_id")
 
 
-@query("stream_extract", EXTRACTED + f"select {_EXTRACT_COLUMNS} from extracted")
+_JOB = f"""select 'records' as entry, file_id, target_uri as item, data->>'$."@graph"[0].name' as value from extracted where not {{BROKEN}}
+union all select 'stats', file_id, key, cast(count(*) as varchar) from keys where not {{BROKEN}} group by file_id, key
+union all select distinct 'errors', file_id, null, null from d9 where {{BROKEN}}
+union all select distinct 'done', file_id, null, null from d9 where not {{BROKEN}}""".replace(
+    "{BROKEN}", "cast(file_id[-13:-9] as integer) % 3 = 0"
+)
+JOB = ctes(
+    "d9", pages_only=_PAGES, texts=_TEXTS, scripts=_SCRIPTS, docs=_JSON, extracted=_EXTRACTED, keys=_KEYS
+)
+
+
+def job_tables(spark, out):
+    """All four tables of the extract job, as its readers see them."""
+    none = F.lit(None).cast("string")
+    records_ = extract_columns(extract.read_records(spark, out))
+    return tables.union_all(
+        records_.select(F.lit("records").alias("entry"), "file_id", F.col("url").alias("item"), F.col("first_name").alias("value")),
+        extract.read_stats(spark, out).select(F.lit("stats").alias("entry"), "file_id", F.col("key").alias("item"), F.col("value").cast("string")),
+        extract.read_errors(spark, out).select(F.lit("errors").alias("entry"), "file_id", none.alias("item"), none.alias("value")),
+        extract.finished(spark, out).select(F.lit("done").alias("entry"), "file_id", none.alias("item"), none.alias("value")),
+    )
+
+
+@query("stream_extract", JOB + _JOB)
 def stream_extract(spark, sf):
-    root = write_archives(spark, sf)
+    """Two batches over archives of which every third is cut off."""
+    root = write_archives(spark, sf, broken=True)
     lists, out = f"{root}-manifest", f"{root}-out"
-    spark.read.parquet(f"{root}-list").write.text(lists)
-    intake.start(spark, lists, out, f"{root}-checkpoint", root, 8).awaitTermination()
-    stored = spark.read.parquet(out)
-    return extract_columns(stored.withColumn("data", F.parse_json("data")))
+    spark.read.parquet(f"{root}-list").coalesce(2).write.text(lists)
+    intake.start(spark, lists, out, f"{root}-checkpoint", root, 8, files_per_batch=1).awaitTermination()
+    return job_tables(spark, out)
 
 
-@query(
-    "extract_job",
-    EXTRACTED
-    + f"select {_EXTRACT_COLUMNS} from extracted where cast(file_id[-13:-9] as integer) % 3 <> 0",
-)
+@query("extract_job", JOB + _JOB)
 def extract_job(spark, sf):
     root = write_archives(spark, sf, broken=True)
-    listed = spark.read.parquet(f"{root}-list")
     out = f"{root}-out"
-    extract.run(spark, listed, out, root, 8)
-    schema = "file_id string, data variant, crawl_metadata struct<url:string>, segment string"
-    return extract_columns(files.read_records(spark, f"{out}/records", schema))
+    extract.run(spark, spark.read.parquet(f"{root}-list"), out, root, 8)
+    return job_tables(spark, out)
 
 
 # ---- the older byte windows ------------------------------------------------------------

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from streetloom.functions import content, jsonld
 from streetloom.operators import counters, crawl, tables
-from streetloom.session import drop_path, scratch_path
-from streetloom.sources import archive, files, manifest
+from streetloom.schemas import RECORD_SCHEMA
+from streetloom.session import scratch_folder
+from streetloom.sources import archive, files, manifest, runs
 
 
 def extract_records(scan: DataFrame, parser: bool = False) -> DataFrame:
@@ -71,31 +73,80 @@ def result_counters(results: DataFrame) -> DataFrame:
     return counters.add_counters(counted, counters.count_keys(texts, failed))
 
 
+TABLES = ["records", "stats", "errors", "done"]
+STATS = "file_id string, part string, key string, value long, run string, segment string"
+ERRORS = "file_id string, ordinal long, error string, run string"
+DONE = "file_id string, run string"
+RECORDS = T.StructType(
+    [T.StructField("file_id", T.StringType()), T.StructField("part", T.StringType())]
+    + RECORD_SCHEMA.fields
+    + [T.StructField("run", T.StringType()), T.StructField("segment", T.StringType())]
+)
+
+
+def finished(spark: SparkSession, out: str) -> DataFrame:
+    """(file_id, run): archives that were read to their end, and the run that counts for each."""
+    return runs.owners(spark, out, runs.committed(spark, out, "done", DONE), "file_id")
+
+
+def _owned(rows: DataFrame, done: DataFrame) -> DataFrame:
+    return rows.join(done, ["file_id", "run"], "left_semi")
+
+
+def read_records(spark: SparkSession, out: str) -> DataFrame:
+    """Records of all finished archives: file_id, part, data, crawl_metadata, run, segment."""
+    return _owned(runs.committed(spark, out, "records", RECORDS, "json"), finished(spark, out))
+
+
+def read_stats(spark: SparkSession, out: str) -> DataFrame:
+    """Counters of all finished archives: file_id, part, key, value, run, segment."""
+    return _owned(runs.committed(spark, out, "stats", STATS), finished(spark, out))
+
+
+def read_errors(spark: SparkSession, out: str) -> DataFrame:
+    """What went wrong in committed runs, also with archives that a later run finished."""
+    return runs.committed(spark, out, "errors", ERRORS)
+
+
 def run(
     spark: SparkSession,
     todo: DataFrame,
     out: str,
     root: str = "",
     tasks: int | None = None,
-) -> None:
-    """Extract the archives of a manifest frame and append to the tables below ``out``.
+    name: str | None = None,
+) -> str:
+    """Extract the archives of a manifest frame into the tables below ``out``; returns the run.
 
-    ``records`` (gzip JSON by segment), ``stats``, ``errors`` and ``done``.  A file that fails
-    leaves an error and no records, and stays pending.  A file listed twice is read once.
+    ``records`` (gzip JSON by segment), ``stats``, ``errors`` and ``done``, each in a folder of
+    this run, which counts once its commit is written: a run that stops anywhere before leaves
+    nothing that readers see, and starting again adds no row twice.  A file that fails leaves
+    an error and no records, and stays pending.  Finished files are left out, and a file
+    listed twice is read once.  ``name`` repeats a run: nothing happens if it was committed.
     """
-    todo = todo.dropDuplicates(["file_id"])
-    staged_at = scratch_path(spark, "extract")
-    scan = archive.scan_archives(todo, root, tasks)
-    page_results(scan).where(
-        "size(texts) > 0 or size(keys) > 0 or error is not null"
-    ).write.parquet(staged_at)
-    results = spark.read.parquet(staged_at)
-    errors = results.where("error is not null").select("file_id", "ordinal", "error")
-    whole = results.join(errors.select("file_id").distinct(), "file_id", "left_anti")
-    records = manifest.with_segment(result_records(whole))
-    files.write_records(records, f"{out}/records", "append")
-    stats = manifest.with_segment(result_counters(whole))
-    stats.write.mode("append").partitionBy("segment").parquet(f"{out}/stats")
-    errors.write.mode("append").parquet(f"{out}/errors")
-    todo.select("file_id").join(errors, "file_id", "left_anti").write.mode("append").parquet(f"{out}/done")
-    drop_path(spark, staged_at)
+    name = name or runs.new_name()
+    if runs.is_committed(spark, out, name):
+        return name
+    with scratch_folder(spark, "extract") as stage:
+        listed = manifest.pending(todo.select("file_id").distinct(), finished(spark, out))
+        listed.write.parquet(f"{stage}/todo")
+        todo = spark.read.parquet(f"{stage}/todo")
+        page_results(archive.scan_archives(todo, root, tasks)).where(
+            "size(texts) > 0 or size(keys) > 0 or error is not null"
+        ).write.parquet(f"{stage}/results")
+        results = spark.read.parquet(f"{stage}/results")
+        errors = results.where("error is not null").select("file_id", "ordinal", "error")
+        broken = errors.select("file_id").distinct()
+        whole = results.join(broken, "file_id", "left_anti")
+
+        def at(table: str) -> str:
+            return runs.folder(out, table, name)
+
+        records = manifest.with_segment(result_records(whole))
+        files.write_records(records, at("records"), "overwrite")
+        stats = manifest.with_segment(result_counters(whole))
+        stats.write.mode("overwrite").partitionBy("segment").parquet(at("stats"))
+        errors.write.mode("overwrite").parquet(at("errors"))
+        todo.join(broken, "file_id", "left_anti").write.mode("overwrite").parquet(at("done"))
+        runs.commit(spark, out, name)
+    return name

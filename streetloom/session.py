@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -51,7 +52,36 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def _place(spark: SparkSession, path: str):
+    """A path and the file system that Spark finds it on."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a stage table that no later step reads."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    target, system = _place(spark, path)
+    system.delete(target, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target, system = _place(spark, path)
+    return system.exists(target)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it is missing."""
+    target, system = _place(spark, path)
+    if not system.exists(target):
+        return []
+    return [s.getPath().getName() for s in system.listStatus(target) if s.isDirectory()]
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession, label: str):
+    """A fresh scratch folder that is removed at the end, also when a job fails."""
+    path = scratch_path(spark, label)
+    try:
+        yield path
+    finally:
+        drop_path(spark, path)

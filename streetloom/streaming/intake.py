@@ -1,17 +1,18 @@
 """Incremental intake: new manifest files are extracted as they arrive.
 
-The batch operators run unchanged on the stream.  The checkpoint remembers which manifest
-files were taken, so a stopped run goes on where it ended.
+Each micro-batch is one run of the extract job, with its records, counters, errors and list of
+finished files.  The checkpoint remembers which manifest files were taken; the run is named by
+the stream and the batch, so a batch that the stream repeats after a crash replaces what it
+left, or has nothing to do if it was committed.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from streetloom.plans.extract import extract_records
-from streetloom.sources import archive, manifest
+from streetloom.plans import extract
+from streetloom.sources import manifest
 
 
 def manifest_stream(spark: SparkSession, folder: str, files_per_batch: int = 10) -> DataFrame:
@@ -19,22 +20,31 @@ def manifest_stream(spark: SparkSession, folder: str, files_per_batch: int = 10)
     return manifest.manifest_lines(lines)
 
 
-def record_stream(files: DataFrame, root: str = "", tasks: int | None = None) -> DataFrame:
-    """Extracted records as text, ready to be written, with their segment."""
-    records = extract_records(archive.scan_archives(files, root, tasks))
-    return manifest.with_segment(records.withColumn("data", F.to_json("data")))
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream that a checkpoint belongs to; a new checkpoint has a new one."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
 
 
 def start(
-    spark: SparkSession, folder: str, out: str, checkpoint: str, root: str = "", tasks: int | None = None
+    spark: SparkSession,
+    folder: str,
+    out: str,
+    checkpoint: str,
+    root: str = "",
+    tasks: int | None = None,
+    files_per_batch: int = 10,
 ) -> StreamingQuery:
-    """Extract everything that has arrived, write it once, stop."""
-    records = record_stream(manifest_stream(spark, folder), root, tasks)
+    """Extract everything that has arrived into the tables of the extract job, then stop."""
+
+    def take(listed: DataFrame, batch: int) -> None:
+        session = listed.sparkSession
+        name = f"stream-{stream_id(session, checkpoint)}-{batch}"
+        extract.run(session, listed, out, root, tasks, name)
+
     return (
-        records.writeStream.format("parquet")
-        .partitionBy("segment")
+        manifest_stream(spark, folder, files_per_batch)
+        .writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
-        .option("path", out)
         .trigger(availableNow=True)
         .start()
     )

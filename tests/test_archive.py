@@ -1,11 +1,14 @@
 import gzip
 import zlib
+from collections import Counter
 
 import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql.readwriter import DataFrameWriter
 
 from streetloom.operators import crawl
 from streetloom.plans import extract
-from streetloom.sources import archive, files, manifest
+from streetloom.sources import archive, runs
 from streetloom.streaming import intake
 
 PAGE = (
@@ -120,40 +123,144 @@ def place(folder, n, data):
     path.write_bytes(data)
 
 
-def test_job_keeps_failed_files_pending(spark, tmp_path):
+def four_archives(tmp_path):
+    """Archives 1 (three pages), 2 (cut off), 3 (a page that is JSON), 4 (one page)."""
     good = b"".join(gzip.compress(warc("response", http(PAGE, HTML), n)) for n in range(3))
     json_page = gzip.compress(warc("response", http(b'{"x":"PostalAddress"}', HTML)))
     place(tmp_path, 1, good)
     place(tmp_path, 2, good[:-40])
     place(tmp_path, 3, json_page)
+    place(tmp_path, 4, gzip.compress(warc("response", http(PAGE, HTML))))
+    return good
+
+
+def job_rows(spark, out):
+    """What readers see: records and counters per file, files with errors, finished files."""
+    stats = {(r["file_id"], r["key"]): r["value"] for r in extract.read_stats(spark, out).collect()}
+    return (
+        Counter(r["file_id"] for r in extract.read_records(spark, out).select("file_id").collect()),
+        stats,
+        Counter(r["file_id"] for r in extract.read_errors(spark, out).collect()),
+        Counter(r["file_id"] for r in extract.finished(spark, out).collect()),
+    )
+
+
+def test_job_keeps_failed_files_pending(spark, tmp_path):
+    good = four_archives(tmp_path)
     out = str(tmp_path / "out")
-    todo = listed(spark, *map(segment, (1, 2, 3)))
+    todo = listed(spark, *map(segment, (1, 2, 3, 1)))
     extract.run(spark, todo, out, str(tmp_path), 2)
-    stored = files.read_records(spark, f"{out}/records")
-    assert stored.count() == 3
-    done = spark.read.parquet(f"{out}/done")
-    left = manifest.pending(todo, done)
-    assert [r["file_id"] for r in left.collect()] == [segment(2)]
-    stats = {(r["file_id"], r["key"]): r["value"] for r in spark.read.parquet(f"{out}/stats").collect()}
+    records, stats, errors, done = job_rows(spark, out)
+    assert (records, errors) == ({segment(1): 3}, {segment(2): 1})
+    assert done == {segment(1): 1, segment(3): 1}
     assert stats[segment(1), "warc/html_response"] == 3
     assert stats[segment(3), "error/parsel/not_html"] == 1
     assert not any(f == segment(2) for f, _ in stats)
+    row = extract.read_records(spark, out).first()
+    assert (row["segment"], row["part"], row["crawl_metadata"]["url"][:9]) == ("1700.1", "00001", "http://h/")
     place(tmp_path, 2, good)
-    extract.run(spark, left, out, str(tmp_path), 2)
-    assert files.read_records(spark, f"{out}/records").count() == 6
+    extract.run(spark, todo, out, str(tmp_path), 2)  # the same list: only the open file is read
+    records, stats, errors, done = job_rows(spark, out)
+    assert (records, set(done.values())) == ({segment(1): 3, segment(2): 3}, {1})
+    assert stats[segment(1), "warc/html_response"] == 3
+
+
+class Crash(Exception):
+    pass
+
+
+@pytest.mark.parametrize("lost", range(7))
+def test_job_that_stops_between_two_writes_adds_no_row_twice(spark, tmp_path, monkeypatch, lost):
+    four_archives(tmp_path)
+    out, todo = str(tmp_path / "out"), listed(spark, *map(segment, (1, 2, 3)))
+    extract.run(spark, listed(spark, segment(4)), out, str(tmp_path), 2, "earlier")
+    before = job_rows(spark, out)
+    for name in ("parquet", "json"):
+        write = getattr(DataFrameWriter, name)
+
+        def counted(self, *args, write=write, **kwargs):
+            nonlocal left
+            left -= 1
+            if left == -1:
+                raise Crash  # the write with this number, and all after it, are lost
+            return write(self, *args, **kwargs)
+
+        monkeypatch.setattr(DataFrameWriter, name, counted)
+    left = lost
+    with pytest.raises(Crash):
+        extract.run(spark, todo, out, str(tmp_path), 2, "later")
+    assert job_rows(spark, out) == before
+    left = 100
+    # under its own name, and under a new one beside what the lost run left
+    extract.run(spark, todo, out, str(tmp_path), 2, "later" if lost % 2 else None)
+    after = job_rows(spark, out)
+    assert after[0] == {segment(1): 3, segment(4): 1}
+    assert after[1][segment(1), "warc/record"] == 3
+    assert after[2:] == ({segment(2): 1}, {segment(1): 1, segment(3): 1, segment(4): 1})
+    gone = runs.sweep(spark, out, extract.TABLES)
+    assert gone == ([] if lost % 2 or lost < 3 else ["later"])
+    assert job_rows(spark, out) == after
+
+
+def test_runs_on_the_same_files_count_once(spark, tmp_path, monkeypatch):
+    four_archives(tmp_path)
+    out, todo = str(tmp_path / "out"), listed(spark, *map(segment, (1, 3)))
+    extract.run(spark, todo, out, str(tmp_path), 2, "a")
+    # a second run that did not see the first one's commit
+    monkeypatch.setattr(extract.manifest, "pending", lambda files, done: files)
+    extract.run(spark, todo, out, str(tmp_path), 2, "b")
+    assert runs.commits(spark, out).count() == 2
+    records, stats, _, done = job_rows(spark, out)
+    assert records == {segment(1): 3} and set(done.values()) == {1}
+    assert extract.read_stats(spark, out).count() == len(stats)
+    assert {r["run"] for r in extract.finished(spark, out).collect()} == {"a"}
+    assert extract.run(spark, todo, out, str(tmp_path), 2, "b") == "b"
+    assert runs.commits(spark, out).count() == 2
 
 
 def test_stream_takes_each_manifest_once(spark, tmp_path):
-    good = gzip.compress(warc("response", http(PAGE, HTML)))
-    place(tmp_path, 1, good)
-    place(tmp_path, 2, good)
+    four_archives(tmp_path)
     lists = tmp_path / "lists"
     lists.mkdir()
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
-    for n in (1, 2):
-        (lists / f"{n}.paths").write_text(segment(n) + "\n")
+    for n, (name, seen) in enumerate([(1, 3), (2, 3), (4, 4)]):
+        (lists / f"{name}.paths").write_text(segment(name) + "\n" + segment(1) + "\n")
         intake.start(spark, str(lists), out, checkpoint, str(tmp_path)).awaitTermination()
-        assert spark.read.parquet(out).count() == n
+        records, _, errors, done = job_rows(spark, out)
+        assert (sum(records.values()), len(errors), len(done)) == (seen, n > 0, 1 + (n > 1))
+    batch = str(tmp_path / "batch")
+    extract.run(spark, listed(spark, *map(segment, (1, 2, 4))), batch, str(tmp_path), 2)
+    assert job_rows(spark, out) == job_rows(spark, batch)
+
+
+def test_stream_repeats_a_batch_that_was_lost(spark, tmp_path, monkeypatch):
+    four_archives(tmp_path)
+    lists = tmp_path / "lists"
+    lists.mkdir()
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    (lists / "1.paths").write_text(segment(1) + "\n" + segment(2) + "\n")
+    commit = runs.commit
+
+    def start():
+        intake.start(spark, str(lists), out, checkpoint, str(tmp_path)).awaitTermination()
+
+    def lost(*args):
+        raise Crash
+
+    def late(*args):
+        commit(*args)
+        raise Crash
+
+    for broken, seen in ((lost, 0), (late, 3)):
+        monkeypatch.setattr(runs, "commit", broken)
+        with pytest.raises(StreamingQueryException):
+            start()
+        assert sum(job_rows(spark, out)[0].values()) == seen
+        monkeypatch.setattr(runs, "commit", commit)
+    start()
+    records, _, errors, done = job_rows(spark, out)
+    assert (records, errors, done) == ({segment(1): 3}, {segment(2): 1}, {segment(1): 1})
+    assert runs.commits(spark, out).count() == 1
 
 
 def test_older_type_test_ignores_case(spark):
