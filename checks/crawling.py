@@ -11,14 +11,14 @@ from pyarrow import fs
 from pyspark.sql import functions as F
 
 from checks import sql
-from checks.fixtures import ctes, frame, records
+from checks.fixtures import ctes, derived, frame, records
 from checks.registry import query
 from streetloom import scratch_path
 from streetloom.functions import content, jsonld
 from streetloom.operators import counters, crawl, geocode, objects, tables
 from streetloom.plans import extract, older, validate
 from streetloom.sources import archive, files, manifest
-from streetloom.streaming import intake
+from streetloom.streaming import dedup, intake
 
 # ---- manifests -------------------------------------------------------------------------
 
@@ -536,6 +536,38 @@ def extract_job(spark, sf):
     return job_tables(spark, out)
 
 
+# Documents in two deliveries, a day apart: every third comes again as it was, every fifth of
+# the rest with another name; some of both have no date that can be read.
+_DELIVERED = """select row_id, url, data, case when row_id % 17 = 0 then 'unknown' else '2025-06-12T11:28:40Z' end as warc_date, 1 as delivery from d10
+union all
+select row_id, url, case when row_id % 3 = 0 then data else replace(data, '"@type":"Place"', '"@type":"Shop"') end as data,
+ case when row_id % 17 = 0 then null else '2025-06-13T11:28:40.25Z' end as warc_date, 2 as delivery
+from d10 where row_id % 3 = 0 or row_id % 5 = 0"""
+
+
+@query(
+    "stream_distinct",
+    ctes("d10", delivered=_DELIVERED)
+    + """select url, md5(data) as content, warc_date as date from delivered where coalesce(warc_date, 'unknown') = 'unknown'
+union all select url, md5(data), min(warc_date) from delivered where warc_date <> 'unknown' group by url, data""",
+)
+def stream_distinct(spark, sf):
+    """Two deliveries of records, read by two micro-batches; copies of the first are dropped."""
+    folder = scratch_path(spark, "deliveries")
+    delivered = derived(spark, sf, "d10", delivered=_DELIVERED)
+    for delivery in (1, 2):
+        rows = delivered.where(F.col("delivery") == delivery).select(
+            F.lit("f").alias("file_id"), "data",
+            F.struct("url", F.col("row_id").cast("string").alias("warc_rec_id"), "warc_date").alias("crawl_metadata"),
+        )
+        rows.coalesce(4).write.json(f"{folder}/in/{delivery}")
+        dedup.start(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    kept = spark.read.parquet(f"{folder}/out")
+    return kept.select(
+        "crawl_metadata.url", F.md5("data").alias("content"), F.col("crawl_metadata.warc_date").alias("date")
+    )
+
+
 # ---- the older byte windows ------------------------------------------------------------
 
 _OLDER = r"""select page_id, ordinal, target_uri as url, warc_rec_id, warc_date, html,

@@ -220,6 +220,12 @@ def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(f"{ctes(name)} select * from {name}")
 
 
+def derived(spark: SparkSession, sf_dir: str, *names: str, **more: str) -> DataFrame:
+    """The last of further definitions over the named fixtures."""
+    _prepare(spark, sf_dir)
+    return spark.sql(f"{ctes(*names, **more)} select * from {list(more)[-1]}")
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The archive records as the archive reader would deliver them."""
     return frame(spark, sf_dir, "d9").select(
