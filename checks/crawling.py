@@ -18,6 +18,7 @@ from streetloom.functions import content, jsonld
 from streetloom.operators import counters, crawl, geocode, objects, tables
 from streetloom.plans import extract, older, validate
 from streetloom.sources import archive, files, manifest
+from streetloom.sources import places as place_tables
 from streetloom.streaming import dedup, intake
 
 # ---- manifests -------------------------------------------------------------------------
@@ -296,16 +297,13 @@ _BEST = """select row_id, min(match_level) as match_level, arg_min(place_id, mat
 LOOKUP = ctes("d4", "d10q", asked=_ASKED, places=_PLACES, matches=_MATCHES, best=_BEST)
 
 
-@query(
-    "geocode_join",
-    LOOKUP
-    + """select q.row_id, b.match_level, b.place_id, p.name as osm_name, p.road as osm_street, p.house_number as osm_house,
- p.country_code as osm_country_code from d10q q left join best b on b.row_id = q.row_id left join d4 p on p.place_id = b.place_id""",
-)
-def geocode_join(spark, sf):
+_LOOKED_UP = """select q.row_id, b.match_level, b.place_id, p.name as osm_name, p.road as osm_street, p.house_number as osm_house,
+ p.country_code as osm_country_code from d10q q left join best b on b.row_id = q.row_id left join d4 p on p.place_id = b.place_id"""
+
+
+def look_up(spark, sf, places, index=None):
     normal = objects.normalised_query(queries_of(spark, sf))
-    stage = scratch_path(spark, "queries")
-    return geocode.geocode(normal, frame(spark, sf, "d4"), stage=stage).select(
+    return geocode.geocode(normal, places, index, scratch_path(spark, "queries")).select(
         "row_id",
         "match_level",
         "place_id",
@@ -316,6 +314,30 @@ def geocode_join(spark, sf):
     )
 
 
+@query("geocode_join", LOOKUP + _LOOKED_UP)
+def geocode_join(spark, sf):
+    return look_up(spark, sf, frame(spark, sf, "d4"))
+
+
+# The places as an earlier delivery had them: some are missing, some lie elsewhere or answer
+# to other names, and some have gone since.
+_EARLIER = """select case when place_id % 11 = 0 then place_id - 900000000 else place_id end as place_id,
+ case when place_id % 5 = 0 then concat('Old ', name) else name end as name, house_number,
+ case when place_id % 3 = 0 then locality else road end as road, postcode, locality, region, country, country_code
+from d4 where place_id % 7 <> 0"""
+
+
+@query("place_index_update", LOOKUP + _LOOKED_UP)
+def place_index_update(spark, sf):
+    """An index over an earlier table of places, brought up to date, answers as a new one."""
+    folder = scratch_path(spark, "places")
+    place_tables.create(spark, folder, derived(spark, sf, "d4", earlier=_EARLIER), 8)
+    place_tables.update(spark, folder, frame(spark, sf, "d4"))
+    return look_up(
+        spark, sf, place_tables.current_places(spark, folder), place_tables.key_index(spark, folder)
+    )
+
+
 @query(
     "validate_triples",
     LOOKUP
@@ -536,6 +558,45 @@ def extract_job(spark, sf):
     return job_tables(spark, out)
 
 
+_PAGE_QUERY = """select page_id as row_id, file_id, target_uri as url, data->>'$."@graph"[0].name' as name,
+ data->>'$."@graph"[0].address.streetAddress' as street, data->>'$."@graph"[0].address.addressLocality' as city,
+ data->>'$."@graph"[0].address.postalCode' as postalcode, data->>'$."@graph"[0].address.addressCountry.name' as country,
+ cast(null as varchar) as state from extracted"""
+
+
+# Places in the towns that the pages name.
+_TOWNS = """select place_id, name, house_number, road, postcode, replace(country, 'Land', 'Town') as locality, region, country,
+ country_code from d4"""
+
+
+@query(
+    "validate_job",
+    ctes(
+        "d9", "d4", pages_only=_PAGES, texts=_TEXTS, scripts=_SCRIPTS, docs=_JSON, extracted=_EXTRACTED, towns=_TOWNS,
+        d10q=_PAGE_QUERY, asked=_ASKED, places=_PLACES.replace("from d4", "from towns"), matches=_MATCHES, best=_BEST,
+    )
+    + """select q.file_id, q.url, q.name, q.postalcode, p.road as osm_street, p.postcode as osm_postcode, p.locality as osm_city
+from d10q q left join best b on b.row_id = q.row_id left join towns p on p.place_id = b.place_id""",
+)
+def validate_job(spark, sf):
+    """Archives are extracted in two runs, and looked up after each; the second takes the rest."""
+    root = write_archives(spark, sf)
+    listed, out, index = spark.read.parquet(f"{root}-list"), f"{root}-out", f"{root}-places"
+    place_tables.create(spark, index, derived(spark, sf, "d4", towns=_TOWNS), 8)
+    for part in (listed.where("crc32(file_id) % 2 = 0"), listed):
+        extract.run(spark, part, out, root, 8)
+        validate.run(spark, out, index, f"{root}-triples")
+    done = validate.read_triples(spark, f"{root}-triples")
+    return done.select(
+        "file_id",
+        F.col("crawl.crawl_metadata.url").alias("url"),
+        *[jsonld.value_text(F.col(f"address_query.{p}")).alias(p) for p in ["name", "postalcode"]],
+        F.col("osm.properties.geocoding.street").alias("osm_street"),
+        F.col("osm.properties.geocoding.postcode").alias("osm_postcode"),
+        F.col("osm.properties.geocoding.city").alias("osm_city"),
+    )
+
+
 # Documents in two deliveries, a day apart: every third comes again as it was, every fifth of
 # the rest with another name; some of both have no date that can be read.
 _DELIVERED = """select row_id, url, data, case when row_id % 17 = 0 then 'unknown' else '2025-06-12T11:28:40Z' end as warc_date, 1 as delivery from d10

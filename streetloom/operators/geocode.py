@@ -13,11 +13,14 @@ share a key, and equal queries are looked up once.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streetloom.functions.address import match_text, split_street
 from streetloom.operators.tables import bind
+from streetloom.session import scratch_path
 
 # What must agree besides the location, from most to least telling, and how the location
 # may be given.
@@ -54,12 +57,8 @@ def _level_keys(
     return df.select(kept, F.inline(F.array(*keys))).where(F.col("key").isNotNull())
 
 
-def place_index(places: DataFrame) -> DataFrame:
-    """(key, place_id): the one place that answers each key.
-
-    The index depends on the places only; for repeated use write it as a table bucketed by
-    ``key`` and pass it to :func:`geocode`.
-    """
+def place_postings(places: DataFrame) -> DataFrame:
+    """(key, place_id): all keys of each place."""
     countries = F.array(F.lit(""), match_text(F.col("country")), match_text(F.col("country_code")))
     matched = bind(places, {f"m_{f}": match_text(F.col(f)) for f in _FIELDS}).select(
         "place_id",
@@ -68,7 +67,16 @@ def place_index(places: DataFrame) -> DataFrame:
     )
     coarse = F.coalesce("m_name", "m_road", "m_house_number").isNull()
     keys = _level_keys(matched, "place_id", F.col("m_country"), "m_", coarse)
-    return keys.groupBy("key").agg(F.min("place_id").alias("place_id"))
+    return keys.select("key", "place_id")
+
+
+def place_index(places: DataFrame) -> DataFrame:
+    """(key, place_id): the one place that answers each key.
+
+    The index depends on the places only; `streetloom.sources.places` keeps it as a table for
+    repeated use.
+    """
+    return place_postings(places).groupBy("key").agg(F.min("place_id").alias("place_id"))
 
 
 def geocode(
@@ -83,15 +91,15 @@ def geocode(
     places have place_id, name, house_number, road, postcode, locality, region, country,
     country_code.  All query rows are kept.
 
-    With ``stage``, a folder not yet in use, the queries, the index and the answers are
-    written there as tables and read back.  The queries are used twice, and whatever produces
-    them (parsing a crawl, say) then runs only once; and both joins read plain tables on both
-    sides, which lets adaptive execution split a key that many queries share.
+    The queries, the index (unless one is given) and the answers are written as tables below
+    ``stage``, a folder not yet in use (one in the shared scratch folder by default), and read
+    back.  The queries are used twice, and whatever produces them (parsing a crawl, say) then
+    runs only once; and both joins read plain tables on both sides, which lets adaptive
+    execution split a key that many queries share.
     """
+    stage = stage or scratch_path(queries.sparkSession, "geocode")
 
     def stored(df: DataFrame, name: str) -> DataFrame:
-        if not stage:
-            return df
         df.write.parquet(f"{stage}/{name}")
         return df.sparkSession.read.parquet(f"{stage}/{name}")
 
@@ -139,10 +147,10 @@ def geocode(
     return with_id.drop(*[f"q_{f}" for f in asked]).join(answers, "query_id", "left").drop("query_id")
 
 
-def assemble_triples(looked_up: DataFrame) -> DataFrame:
-    """(osm, crawl, address_query): answer, source record, raw query."""
+def assemble_triples(looked_up: DataFrame, kept: Sequence[str] = ()) -> DataFrame:
+    """(osm, crawl, address_query): answer, source record, raw query; ``kept`` columns stay."""
     return looked_up.select(
-        "osm", F.struct("data", "crawl_metadata").alias("crawl"), "address_query"
+        "osm", F.struct("data", "crawl_metadata").alias("crawl"), "address_query", *kept
     )
 
 

@@ -124,16 +124,6 @@ def test_arrays_of_records_to_dataset(spark, record_files, tmp_path):
     ]
 
 
-def test_validate_job(spark, record_files, tmp_path):
-    places = spark.createDataFrame([(7, "Kaffee Co", "1", "Main", "100", "Town", "East", "Landia", "la")], PLACE)
-    records = files.read_records(spark, str(record_files / "seg"), RECORD_SCHEMA, arrays=True)
-    files.write_records(records, str(tmp_path / "records"))
-    validate.run(spark, str(tmp_path / "records"), places, str(tmp_path / "triples"))
-    stored = files.read_records(spark, str(tmp_path / "triples"), TRIPLE_SCHEMA)
-    names = [r[0] for r in stored.select("osm.properties.geocoding.name").collect()]
-    assert sorted(names, key=str) == ["Kaffee Co", None]
-
-
 def test_requests(spark):
     df = spark.createDataFrame([(json.dumps(DOC),)], "t string").select(F.parse_json("t").alias("data"))
     normal = objects.normalised_query(objects.address_query(objects.address_objects(df)))
