@@ -498,6 +498,16 @@ def warc_scan(spark, sf):
     return scanned(archive.good_records(archive.scan_archives(listed, root)))
 
 
+@query("warc_ranges", ctes("d9") + _SCANNED)
+def warc_ranges(spark, sf):
+    """Each archive cut into parts at gzip members, and the parts read by many tasks."""
+    root = write_archives(spark, sf)
+    listed = spark.read.parquet(f"{root}-list")
+    parts = scratch_path(spark, "ranges")
+    archive.archive_ranges(listed, root, every=2000).write.parquet(parts)
+    return scanned(archive.good_records(archive.scan_ranges(spark.read.parquet(parts), root)))
+
+
 @query("warc_source", f"{ctes('d9', scanned=_SCANNED)} select * from scanned where rec_type = 'response'")
 def warc_source(spark, sf):
     root = write_archives(spark, sf)

@@ -115,6 +115,7 @@ def run(
     root: str = "",
     tasks: int | None = None,
     name: str | None = None,
+    parts: DataFrame | None = None,
 ) -> str:
     """Extract the archives of a manifest frame into the tables below ``out``; returns the run.
 
@@ -122,7 +123,8 @@ def run(
     this run, which counts once its commit is written: a run that stops anywhere before leaves
     nothing that readers see, and starting again adds no row twice.  A file that fails leaves
     an error and no records, and stays pending.  Finished files are left out, and a file
-    listed twice is read once.  ``name`` repeats a run: nothing happens if it was committed.
+    listed twice is read once.  ``parts`` (from `archive.archive_ranges`) lets many tasks share
+    the archives it lists; others are read whole.  ``name`` repeats a run: nothing happens if it was committed.
     """
     name = name or runs.new_name()
     if runs.is_committed(spark, out, name):
@@ -131,7 +133,15 @@ def run(
         listed = manifest.pending(todo.select("file_id").distinct(), finished(spark, out))
         listed.write.parquet(f"{stage}/todo")
         todo = spark.read.parquet(f"{stage}/todo")
-        page_results(archive.scan_archives(todo, root, tasks)).where(
+        if parts is None:
+            scan = archive.scan_archives(todo, root, tasks)
+        else:
+            zero = F.lit(0).cast("long")
+            cut = todo.join(parts, "file_id", "left").withColumns(
+                {"start": F.coalesce("start", zero), "first": F.coalesce("first", zero)}
+            )
+            scan = archive.scan_ranges(cut, root, tasks)
+        page_results(scan).where(
             "size(texts) > 0 or size(keys) > 0 or error is not null"
         ).write.parquet(f"{stage}/results")
         results = spark.read.parquet(f"{stage}/results")

@@ -58,6 +58,13 @@ def _place(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def qualified_path(spark: SparkSession, path: str) -> str:
+    """A path with the scheme of the file system Spark finds it on; a plain one if that is local."""
+    target, system = _place(spark, path or ".")
+    text = system.makeQualified(target).toString()
+    return text.removeprefix("file:") if text.startswith("file:/") else text
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a stage table that no later step reads."""
     target, system = _place(spark, path)

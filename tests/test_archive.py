@@ -4,6 +4,7 @@ from collections import Counter
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
 
 from streetloom.operators import crawl
@@ -105,6 +106,70 @@ def test_bad_files_become_error_rows(spark, folder):
     assert archive.good_records(scan).where("file_id = 'members.warc.gz'").count() == len(RECORDS)
 
 
+def whole_rows(scan):
+    return sorted((tuple(r) for r in scan.collect()), key=lambda r: (r[0], r[1], r[8] or ""))
+
+
+def test_parts_of_a_file_give_the_rows_of_the_whole(spark, folder):
+    parts = [warc(k, p, n) for n, (k, p) in enumerate(RECORDS)]
+    pairs = b"".join(gzip.compress(parts[i] + b"".join(parts[i + 1 : i + 2])) for i in range(0, len(parts), 2))
+    whole = (folder / "members.warc.gz").read_bytes()
+    odd = {
+        "pairs.warc.gz": pairs, "one.warc.gz": gzip.compress(b"".join(parts)), "empty.warc": b"",
+        "padded.warc.gz": b"".join(gzip.compress(p) + b"\0" * 20 for p in parts),
+        "cut.warc.gz": whole[: len(whole) // 2], "junk.warc.gz": b"not gzip", "tail.warc.gz": whole + b"junk",
+        "nested.warc.gz": b"".join(gzip.compress(warc("response", http(whole, HTML)), 0) for _ in range(3)),
+        "header.warc": parts[0] + b"WARC/1.0\r\nno length\r\n\r\n",
+    }
+    for name, data in odd.items():
+        (folder / name).write_bytes(data)
+    names = ["plain.warc", "members.warc.gz", "gone.warc.gz", *odd]
+
+    def halves(scan):
+        """Rows of sound files; the files with an error, one each (rows before it may be read)."""
+        rows = whole_rows(scan)
+        bad = sorted(r[0] for r in rows if r[8])
+        return [r for r in rows if r[0] not in bad], bad
+
+    want = halves(archive.scan_archives(listed(spark, *names), str(folder)))
+    assert want[1] == ["cut.warc.gz", "gone.warc.gz", "header.warc", "junk.warc.gz", "tail.warc.gz"]
+    counts = {}
+    for every in (1, 300, 1 << 30):
+        found = archive.archive_ranges(listed(spark, *names), str(folder), every)
+        counts[every] = Counter(r["file_id"] for r in found.collect())
+        assert halves(archive.scan_ranges(found, str(folder))) == want
+        assert halves(archive.scan_ranges(found, str(folder), 3)) == want
+    assert counts[1]["plain.warc"] == counts[1]["members.warc.gz"] == counts[1]["padded.warc.gz"] == len(RECORDS)
+    assert (counts[1]["pairs.warc.gz"], counts[1]["one.warc.gz"], counts[1]["nested.warc.gz"]) == (5, 1, 3)
+    assert 1 < counts[300]["members.warc.gz"] < len(RECORDS)
+    assert set(counts[1 << 30].values()) == {1}
+
+
+def test_large_files_have_tasks_of_their_own(spark, folder, monkeypatch):
+    monkeypatch.setattr(archive, "TASK_BYTES", 5_000)
+    plain, names = (folder / "plain.warc").read_bytes(), []
+    for n in range(40):
+        names.append(f"{n}.warc")
+        (folder / names[-1]).write_bytes(plain * (12 if n < 9 else 1))
+    size = len(plain)
+    assert 12 * size > 5_000 > 2 * size
+    scan = archive.scan_archives(listed(spark, *names), str(folder))
+    tasks = Counter()
+    for task, file_id in scan.select(F.spark_partition_id(), "file_id").distinct().collect():
+        tasks[task] += 1 + 100 * (int(file_id[:-5]) < 9)
+    assert sorted(n for n in tasks.values() if n > 100) == [101] * 9
+    assert sum(n for n in tasks.values() if n < 100) == 31
+    assert scan.count() == len(RECORDS) * (9 * 12 + 31)
+
+
+def test_paths_are_found_where_spark_finds_them(spark, folder):
+    for root, name in (
+        (f"file://{folder}", "plain.warc"), (str(folder), "plain.warc"), ("", str(folder / "plain.warc")),
+        ("", f"file://{folder}/plain.warc"), (f"file://{folder.parent}", str(folder / "plain.warc")),
+    ):
+        assert archive.scan_archives(listed(spark, name), root).where("error is null").count() == len(RECORDS)
+
+
 def test_record_data_survives_extraction(spark, folder):
     scan = archive.scan_archives(listed(spark, "members.warc.gz"), str(folder))
     rows = extract.extract_records(scan).selectExpr(
@@ -202,6 +267,17 @@ def test_job_that_stops_between_two_writes_adds_no_row_twice(spark, tmp_path, mo
     assert job_rows(spark, out) == after
 
 
+def test_job_reads_archives_in_parts(spark, tmp_path):
+    four_archives(tmp_path)
+    todo = listed(spark, *map(segment, (1, 2, 3, 4)))
+    parts = archive.archive_ranges(listed(spark, *map(segment, (1, 2, 5))), str(tmp_path), 1)
+    assert parts.where(F.col("file_id") == segment(1)).count() == 3
+    whole, cut = str(tmp_path / "whole"), str(tmp_path / "cut")
+    extract.run(spark, todo, whole, str(tmp_path))
+    extract.run(spark, todo, cut, str(tmp_path), parts=parts)
+    assert job_rows(spark, cut) == job_rows(spark, whole)
+
+
 def test_runs_on_the_same_files_count_once(spark, tmp_path, monkeypatch):
     four_archives(tmp_path)
     out, todo = str(tmp_path / "out"), listed(spark, *map(segment, (1, 3)))
