@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from checks import sql
-from checks.fixtures import COLUMNS, ctes, frame
+from checks.fixtures import COLUMNS, ctes, derived, frame
 from checks.registry import query
 from streetloom import scratch_path
 from streetloom.functions import similarity
@@ -42,6 +43,18 @@ def error_classes(spark, sf):
     return errors.error_classes(pairs(spark, sf))
 
 
+# The usual abbreviations, and one word of its own for every customer.
+_ALIAS_ROWS = " union all ".join(
+    [f"select '{t}' as token, '{w}' as word" for t, words in sql.ALIASES.items() for w in words]
+    + ["select concat('zz', cast(row_id as varchar(20))), concat('yy', cast(row_id as varchar(20))) from d1"]
+)
+
+
+@query("error_classes_table", CLASSED + "select row_id, column_name, errortype from classed")
+def error_classes_table(spark, sf):
+    return errors.cell_errors_by_table(pairs(spark, sf), derived(spark, sf, "d1", aliases=_ALIAS_ROWS))
+
+
 @query(
     "error_counts_long",
     CLASSED + "select column_name, errortype, count(*) as len from classed group by all",
@@ -184,6 +197,31 @@ def cell_updates_last_wins(spark, sf):
     return repair.last_updates(updates(spark, sf))
 
 
+@query(
+    "cell_updates_json",
+    ctes("d6") + """select row_no as "row", col_no as col, value,
+ row_number() over (partition by row_no % 7 order by ord, col_no) - 1 as ord from d6""",
+)
+def cell_updates_json(spark, sf):
+    """Seven files of one JSON list each, read by splits of a few hundred elements."""
+
+    def as_list(batches):
+        yield pa.RecordBatch.from_pydict({"value": ["["]})
+        comma = ""
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_pydict({"value": [comma + text]})
+                comma = ","
+        yield pa.RecordBatch.from_pydict({"value": ["]"]})
+
+    element = F.to_json(F.struct(F.col("row_no").alias("row"), F.col("col_no").alias("col"), "value"))
+    lists = frame(spark, sf, "d6").repartitionById(7, (F.col("row_no") % 7).cast("int"))
+    lists = lists.sortWithinPartitions("ord", "col_no").select(element.alias("value"))
+    where = scratch_path(spark, "cells")
+    lists.mapInArrow(as_list, "value string").write.text(where)
+    return files.read_cell_updates(spark, where).select("row", "col", "value", "ord")
+
+
 @query("apply_cell_updates", REPAIR + "select * from repaired")
 def apply_cell_updates(spark, sf):
     return repair.apply_cell_updates(frame(spark, sf, "d2"), updates(spark, sf))

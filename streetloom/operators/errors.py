@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streetloom.functions.similarity import ALIASES, ERROR_CLASSES, error_class
+from streetloom.functions.text import token_sequence
 from streetloom.operators.tables import bind
 from streetloom.schemas import DATASET_COLUMNS
+from streetloom.session import scratch_path
 
 
 def pair_join(
@@ -63,6 +65,44 @@ def cell_errors(pairs: DataFrame, aliases: Mapping[str, Sequence[str]] = ALIASES
     )
 
 
+def cell_errors_by_table(
+    pairs: DataFrame, aliases: DataFrame, stage: str | None = None
+) -> DataFrame:
+    """`cell_errors` with the aliases as a table of any size: token and word, in lower case.
+
+    Two texts of equally many words can be written out alike if the words at each place where
+    they differ can: both stand for a word in common, or one for the other.  The different
+    pairs of such words are looked up once each, and a cell counts the places that meet.  The
+    classes of the other rules are kept in a table below ``stage`` meanwhile.
+    """
+    spark = pairs.sparkSession
+    stage = stage or scratch_path(spark, "cells")
+    truth = F.col("truth")
+    a, b = (token_sequence(F.lower(c)) for c in (F.col("value"), truth))
+    judged = bind(cells(pairs), {"errortype": error_class(F.col("value"), truth, {})})
+    open_ = F.col("errortype").isin("token subset", "unknown") & (F.size(a) == F.size(b))
+    places = F.filter(F.arrays_zip(a.alias("x"), b.alias("y")), lambda p: p["x"] != p["y"])
+    judged.select("row_id", "column_name", "errortype", F.when(open_, places).alias("places")).write.parquet(stage)
+    judged = spark.read.parquet(stage)
+
+    cell = ["row_id", "column_name"]
+    open_ = judged.where(F.size("places") > 0).select(*cell, F.size("places").alias("n"), F.inline("places"))
+    asked = open_.select("x", "y").distinct()
+    forms = aliases.select("token", "word").where("token is not null and word is not null").distinct()
+    known = asked.join(forms.withColumnRenamed("token", "x"), "x")
+    known = known.unionByName(asked.withColumn("word", F.col("x")))
+    both = known.join(forms.withColumnRenamed("token", "y"), ["y", "word"], "left_semi")
+    met = known.where(F.col("word") == F.col("y")).unionByName(both.select(*known.columns))
+    met = met.select("x", "y").distinct()
+    alike = open_.join(met, ["x", "y"]).groupBy(*cell).agg(
+        F.count(F.lit(1)).alias("places"), F.first("n").alias("n")
+    )
+    alike = alike.where(F.col("places") == F.col("n")).select(*cell, F.lit("synonym").alias("synonym"))
+    return judged.join(alike, cell, "left").select(
+        *cell, F.coalesce("synonym", "errortype").alias("errortype")
+    )
+
+
 def error_counts(cell_classes: DataFrame) -> DataFrame:
     """Cells by column and error class."""
     return cell_classes.groupBy("column_name", "errortype").agg(F.count(F.lit(1)).alias("len"))

@@ -147,11 +147,76 @@ def read_outside_csv(
     )
 
 
+def _before(value: str, *by: str) -> Column:
+    """Sum of a column over the pieces or splits before, in file order."""
+    window = Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(value).over(window), F.lit(0))
+
+
+def _prefixed(pieces: DataFrame, value: str, name: str) -> DataFrame:
+    """Add ``name``, the sum of ``value`` over all pieces before, by splits first, and ``_total``."""
+    splits = pieces.groupBy("_file", "_split").agg(F.sum(value).alias("_sum"))
+    total = F.sum("_sum").over(Window.partitionBy("_file"))
+    splits = splits.select(
+        "_file", "_split", _before("_sum", "_file", "_split").alias("_base"), total.alias("_total")
+    )
+    inside = pieces.withColumn("_inside", _before(value, "_file", "_split", "_id"))
+    joined = inside.join(splits, ["_file", "_split"])
+    return joined.withColumn(name, F.col("_base") + F.col("_inside")).drop("_base", "_inside")
+
+
+def read_json_list(spark: SparkSession, path: str) -> DataFrame:
+    """Elements of files that hold one JSON list of objects each: file, ord, element (text).
+
+    A list is read by as many tasks as the file has splits.  It is cut behind every closing
+    brace.  Whether a piece begins inside a string follows from the number of quotes before
+    it, how deep it lies from the brackets before it that are no part of strings; both are
+    sums per split, then within the split.  An element ends where the depth is back at that
+    of the list; its pieces are put together again.  A file that ends inside an element, or
+    holds anything but objects, fails the read.
+    """
+    pieces = spark.read.option("lineSep", "}").text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_split"),
+        F.monotonically_increasing_id().alias("_id"),
+    )
+    # an escape never reaches over a piece, as no escape ends in a brace
+    plain = F.regexp_replace("value", r"(?s)\\.", "")
+    quotes = F.length(plain) - F.length(F.replace(plain, F.lit('"'), F.lit("")))
+    pieces = _prefixed(pieces.withColumn("_quotes", quotes), "_quotes", "_quoted").drop("_total")
+    inside = F.col("_quoted") % 2 == 1
+    outside = F.when(inside, F.regexp_replace(plain, r'^[^"]*"?', "")).otherwise(plain)
+    outside = F.regexp_replace(outside, r'"[^"]*("|$)', "")
+    opened = F.length(F.regexp_replace(outside, r"[^\[{]", "")) - F.length(F.regexp_replace(outside, r"[^\]]", ""))
+    real = (F.col("_quoted") + F.col("_quotes")) % 2 == 0  # the brace behind it is no text
+    pieces = pieces.withColumns({"_real": real, "_opened": opened - real.cast("int")})
+    # the end of the file counts as one more brace: a list that is closed ends one below
+    pieces = _prefixed(pieces, "_opened", "_depth").withColumn("_closed", F.col("_total") == -1).drop("_total")
+    ends = F.col("_real") & (F.col("_depth") + F.col("_opened") == 1)
+    pieces = _prefixed(pieces.withColumn("_ends", ends.cast("int")), "_ends", "ord")
+    whole = pieces.groupBy("_file", "ord").agg(
+        F.sort_array(F.collect_list(F.struct("_id", "value"))).alias("_pieces"), F.max("_ends").alias("_whole"),
+        F.bool_and("_closed").alias("_closed"),
+    )
+    text = F.concat(F.array_join(F.col("_pieces.value"), "}"), F.lit("}"))
+    element = F.regexp_extract(text, r"(?s)^\s*(?:\[|,)\s*(\{.*\})$", 1)
+    rest = F.array_join(F.col("_pieces.value"), "}")
+    checked = (
+        F.when(F.col("_closed") & (F.col("_whole") == 1) & (element != ""), element)
+        .when(F.col("_closed") & (F.col("_whole") == 0) & rest.rlike(r"^\s*(\[\s*)?\]\s*$"), F.lit(None))
+        .otherwise(F.raise_error(F.concat(F.lit("not a JSON list of objects: "), F.col("_file"))))
+    )
+    return whole.select(
+        F.col("_file").alias("file"), F.col("ord").cast("bigint").alias("ord"), checked.alias("element")
+    ).where(F.col("element").isNotNull())
+
+
 def read_cell_updates(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Cell updates {row, col, value}; ``ord`` tells which update of a cell is the later one.
 
-    Tools write one JSON list, where ``ord`` is the position.  Large sets of updates come as
-    JSON lines that carry ``ord`` themselves and are read in parallel.
+    Tools write one JSON list, where ``ord`` is the position (`read_json_list`); ``lines`` is
+    for JSON lines that carry ``ord`` themselves.
     """
     fields = [
         T.StructField("row", T.LongType()),
@@ -160,9 +225,8 @@ def read_cell_updates(spark: SparkSession, path: str, lines: bool = False) -> Da
     ]
     if lines:
         return spark.read.schema(T.StructType([T.StructField("ord", T.LongType()), *fields])).json(path)
-    text = spark.read.text(path, wholetext=True)
-    listed = text.select(F.posexplode(F.from_json("value", T.ArrayType(T.StructType(fields)))))
-    return listed.select(F.col("pos").cast("bigint").alias("ord"), "col.row", "col.col", "col.value")
+    update = F.from_json("element", T.StructType(fields), {"mode": "FAILFAST"})
+    return read_json_list(spark, path).select("ord", update.alias("u")).select("ord", "u.row", "u.col", "u.value")
 
 
 def read_jdbc_table(

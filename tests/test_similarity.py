@@ -1,10 +1,12 @@
 import random
+from collections import Counter
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from streetloom.functions import similarity as sim
+from streetloom.operators import errors
 
 
 def words(seed, n, alphabet="abc", longest=7):
@@ -118,3 +120,34 @@ def test_alias_table_of_any_size(one):
 def test_own_aliases(one):
     got = one(lambda v, t: sim.error_class(v, t, {"pza": ["piazza"]}), [("Pza Roma", "Piazza Roma")], "v string, t string")
     assert got == ["synonym"]
+
+
+def test_aliases_as_a_table(spark):
+    """As with the aliases in the plan, on random texts, and with very many aliases."""
+    rng = random.Random(11)
+    words = ["st", "street", "saint", "ave", "avenue", "mt", "mount", "north", "n", "Oak", "q1"]
+    aliases = {"st": ["street", "saint"], "str": ["street"], "ave": ["avenue"], "mt": ["mount", "st"], "n": ["north"]}
+
+    def text():
+        return rng.choice([None, "", " ".join(rng.choice(words) for _ in range(rng.randrange(1, 4))), "Main St. " * rng.randrange(3)])
+
+    def other(value):
+        if value is None or rng.random() < 0.3:
+            return text()
+        return " ".join(rng.choice([w, *aliases.get(w, []), "saint"]) for w in value.split(" "))
+
+    rows = [(i, *(x for v in (text(), text()) for x in (v, other(v)))) for i in range(1500)]
+    pairs = spark.createDataFrame(rows, "row_id long, a string, true_a string, b string, true_b string")
+    few = spark.createDataFrame([(t, w) for t, ws in aliases.items() for w in ws + ws[:1]] + [(None, "x")], "token string, word string")
+    many = spark.range(100_000).selectExpr("concat('zz', id) as token", "concat('yy', id % 1000) as word")
+    want = sorted(map(tuple, errors.cell_errors(pairs, aliases).collect()))
+    assert Counter(w[2] for w in want)["synonym"] > 50
+    for table in (few, few.unionByName(many)):
+        found = errors.cell_errors_by_table(pairs, table)
+        assert sorted(map(tuple, found.collect())) == want
+    plan = found._jdf.queryExecution().toString()
+    assert "from_json" not in plan and "zz1," not in plan
+    sums = spark.createDataFrame([(1, "zz7 x", "zz1007 X x"), (2, "zz7 a", "zz1007 a"), (3, "zz70 bcd e", "yy70 Bcd e"), (4, "zz7 a", "zz8 a")], "row_id long, a string, true_a string")
+    got = {r["row_id"]: r["errortype"] for r in errors.cell_errors_by_table(sums, many).collect()}
+    assert got == {1: "unknown", 2: "synonym", 3: "typo", 4: "typo"}
+    assert errors.cell_errors_by_table(pairs.limit(0), few).count() == 0
