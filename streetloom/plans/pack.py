@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streetloom.operators import pairs, tables
-from streetloom.schemas import PAIR_TO_DATASET
-from streetloom.sources import files
+from streetloom.schemas import PAIR_COLUMNS, PAIR_TO_DATASET, TARGET_COLUMNS
+from streetloom.sources import distinct, files
 
 # Sizes of the published samples.
 SAMPLE_SIZES = {"2k": 2_400, "24k": 24_000, "240k": 240_000}
@@ -52,3 +52,19 @@ def run(spark: SparkSession, triples: DataFrame, out: str) -> None:
     stored = files.read_dataset(spark, f"{out}/dataset")
     files.write_csv(pairs.value_table(stored), f"{out}/values")
     files.write_csv(pairs.target_table(stored), f"{out}/targets")
+
+
+def extend(spark: SparkSession, triples: DataFrame, pool: str) -> None:
+    """Add the pairs of new triples to a table of distinct pairs (`sources.distinct`).
+
+    Triples that were packed before add nothing, so a run costs what its new triples cost and
+    one pass over the hashes of the table.
+    """
+    columns = [*PAIR_COLUMNS, *TARGET_COLUMNS]
+    packed = pack_dataset(triples)
+    distinct.add(spark, pool, packed, columns)
+
+
+def pool_dataset(spark: SparkSession, pool: str) -> DataFrame:
+    """The data set of all triples that a table of pairs has taken, numbered as by `run`."""
+    return tables.with_row_id(distinct.read(spark, pool, [*PAIR_COLUMNS, *TARGET_COLUMNS]))

@@ -3,7 +3,7 @@
 A folder holds two tables.  ``keys`` has the place that answers each key, bucketed by key;
 ``places`` has the places, bucketed by id.  A look-up joins both as they lie: only the queries
 are shuffled.  Each merge adds one generation of rows to both tables and counts once its commit
-is written (`streetloom.sources.runs`); readers take the latest committed row of each key and
+is written (`streetloom.sources.buckets`); readers take the latest committed row of each key and
 of each place, which their bucket holds, so reading needs no shuffle either.
 
 A merge works out keys of changed places only.  A key whose place changed or went is answered
@@ -18,61 +18,30 @@ nothing by `merge`, and everything by `update`.
 
 from __future__ import annotations
 
-import hashlib
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streetloom.operators import geocode
-from streetloom.session import exists, scratch_folder
-from streetloom.sources import runs
+from streetloom.session import scratch_folder
+from streetloom.sources import buckets, runs
 
 FIELDS = [
     "name", "house_number", "road", "postcode", "locality", "region", "country", "country_code",
 ]
-_KEYS = "key STRING, place_id BIGINT, gen BIGINT"
-_PLACES = ", ".join(["place_id BIGINT", *[f"{f} STRING" for f in FIELDS], "live BOOLEAN, gen BIGINT"])
-#: Shared out over so many files; a multiple of the cores of the cluster is best.
-BUCKETS = 64
+#: Name, columns and bucket key of the two tables.
+KEYS = ("keys", "key STRING, place_id BIGINT", "key")
+PLACES = ("places", ", ".join(["place_id BIGINT", *[f"{f} STRING" for f in FIELDS], "live BOOLEAN"]), "place_id")
 
 
-def create(spark: SparkSession, folder: str, places: DataFrame, buckets: int = BUCKETS) -> None:
+def create(spark: SparkSession, folder: str, places: DataFrame, files: int = buckets.BUCKETS) -> None:
     """A new index in a folder not yet in use."""
-    if exists(spark, f"{folder}/layout"):
-        raise ValueError(f"there is an index in {folder}")
-    spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.json(f"{folder}/layout")
+    buckets.lay_out(spark, folder, files)
     merge(spark, folder, places)
 
 
-def _table(spark: SparkSession, folder: str, name: str) -> str:
-    """The table of this session over ``<folder>/<name>``, with its buckets."""
-    table = f"place_{name}_{hashlib.md5(folder.encode()).hexdigest()}"
-    if not spark.catalog.tableExists(table):
-        buckets = spark.read.schema("buckets int").json(f"{folder}/layout").first()["buckets"]
-        key, columns = ("key", _KEYS) if name == "keys" else ("place_id", _PLACES)
-        where = f"{folder}/{name}".replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(
-            f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({key}) "
-            f"SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{where}'"
-        )
-    return table
-
-
-def _generations(spark: SparkSession, folder: str) -> list[int]:
-    """The merges that count: one number each."""
-    return sorted(int(r["run"]) for r in runs.commits(spark, folder).collect())
-
-
-def _committed(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    table = _table(spark, folder, name)
-    spark.catalog.refreshTable(table)  # other sessions may have added files
-    return spark.table(table).where(F.col("gen").isin(_generations(spark, folder)))
-
-
 def key_index(spark: SparkSession, folder: str) -> DataFrame:
     """(key, place_id) for `geocode.geocode`: the one place that answers each key."""
-    latest = _committed(spark, folder, "keys").groupBy("key").agg(
+    latest = buckets.committed(spark, folder, *KEYS).groupBy("key").agg(
         F.max_by("place_id", "gen").alias("place_id")
     )
     return latest.where(F.col("place_id").isNotNull())
@@ -81,7 +50,7 @@ def key_index(spark: SparkSession, folder: str) -> DataFrame:
 def current_places(spark: SparkSession, folder: str) -> DataFrame:
     """The places of the index."""
     row = F.struct("live", *FIELDS)
-    latest = _committed(spark, folder, "places").groupBy("place_id").agg(
+    latest = buckets.committed(spark, folder, *PLACES).groupBy("place_id").agg(
         F.max_by(row, "gen").alias("row")
     )
     return latest.where("row.live").select("place_id", *[f"row.{f}" for f in FIELDS])
@@ -103,8 +72,7 @@ def merge(
     spark: SparkSession, folder: str, changed: DataFrame, removed: DataFrame | None = None
 ) -> int:
     """Take over new or different places and drop ``removed`` ones (place_id); returns the generation."""
-    known = _generations(spark, folder)
-    gen = max([time.time_ns(), *[g + 1 for g in known]])
+    gen = buckets.next_generation(spark, folder)
     with scratch_folder(spark, "merge") as stage:
 
         def staged(df: DataFrame, name: str) -> DataFrame:
@@ -119,10 +87,10 @@ def merge(
             gone = staged(absent.select("place_id", *texts, F.lit(False).alias("live")), "removed")
             rows = rows.unionByName(gone)
         best = staged(geocode.place_index(changed), "best")
-        if known:
+        if buckets.generations(spark, folder):
             best = _answers(spark, folder, rows, best, staged)
-        _append(spark, folder, "places", rows, "place_id", gen)
-        _append(spark, folder, "keys", best, "key", gen)
+        buckets.append(spark, folder, *PLACES, rows, gen)
+        buckets.append(spark, folder, *KEYS, best, gen)
         runs.commit(spark, folder, str(gen))
     return gen
 
@@ -142,18 +110,11 @@ def _answers(spark: SparkSession, folder: str, rows: DataFrame, best: DataFrame,
     return staged(anew.unionByName(first.select("key", "place_id")), "answers")
 
 
-def _append(spark: SparkSession, folder: str, name: str, rows: DataFrame, key: str, gen: int) -> None:
-    table = _table(spark, folder, name)
-    buckets = spark.read.schema("buckets int").json(f"{folder}/layout").first()["buckets"]
-    rows = rows.withColumn("gen", F.lit(gen).cast("long")).repartition(buckets, key)
-    rows.select(*spark.table(table).columns).write.insertInto(table)
-
-
 def update(spark: SparkSession, folder: str, places: DataFrame) -> int:
     """Bring the index to a whole table of places; only the differences are merged."""
     return merge(spark, folder, *changes(spark, folder, places))
 
 
-def rewrite(spark: SparkSession, folder: str, into: str, buckets: int = BUCKETS) -> None:
+def rewrite(spark: SparkSession, folder: str, into: str, files: int = buckets.BUCKETS) -> None:
     """The same index in a new folder, as one generation."""
-    create(spark, into, current_places(spark, folder), buckets)
+    create(spark, into, current_places(spark, folder), files)
