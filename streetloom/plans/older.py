@@ -21,6 +21,7 @@ FLAT_PATHS = {
     "country": "$.address.addressCountry",
     "postOfficeBoxNumber": "$.address.postOfficeBoxNumber",
 }
+# Columns that identify a row.
 KEY_COLUMNS = ["name", "street", "locality", "postalCode", "country", "region"]
 
 # Columns kept for alignment, in output order.
@@ -36,6 +37,7 @@ KEPT_COLUMNS = [
     "osm:address:state_district", "osm:address:province", "osm:address:ISO3166-2-lvl4",
     "url", "osm:osm_id", "osm:osm_type", "osm:place_rank", "osm:extratags", "osm:lat", "osm:lon",
 ]
+# Kinds of map objects, and the columns a town or region is taken from, in order.
 OSM_TYPES = ["way", "node", "relation"]
 LOCALITY_PREFERRED = ["osm:address:city", "osm:address:town"]
 LOCALITY_BACKUP = [
