@@ -15,7 +15,7 @@ from checks.fixtures import ctes, derived, frame, records
 from checks.registry import query
 from streetloom import scratch_path
 from streetloom.functions import content, jsonld
-from streetloom.operators import counters, crawl, geocode, objects, tables
+from streetloom.operators import counters, crawl, geocode, misspelt, objects, tables
 from streetloom.plans import extract, older, validate
 from streetloom.sources import archive, files, manifest
 from streetloom.sources import places as place_tables
@@ -319,6 +319,34 @@ def geocode_join(spark, sf):
     return look_up(spark, sf, frame(spark, sf, "d4"))
 
 
+# Towns, some with their region and a road, as they are and as people write them.
+_KNOWN_TOWNS = """select locality as town from d4 where locality is not null
+union all select locality || ', ' || region || ', ' || road as town from d4 where place_id % 3 = 0"""
+_WRITTEN = """select row_id, case row_id % 8 when 0 then t when 1 then substr(t, 1, k) || substr(t, k + 2)
+ when 2 then substr(t, 1, k) || substr(t, k + 2, 1) || substr(t, k + 1, 1) || substr(t, k + 3)
+ when 3 then 'x' || substr(t, 2, length(t) - 2) || 'x' when 4 then substr(t, 1, k) || 'qu' || substr(t, k + 1)
+ when 5 then substr(t, 2, 1) || substr(t, 1, 1) || substr(t, 3, length(t) - 4) || substr(t, length(t), 1) || substr(t, length(t) - 1, 1)
+ when 6 then 'no' || t || 'x' when 7 then case when row_id % 3 = 0 then null when row_id % 3 = 1 then '-' else upper(t) end end as city
+from (select row_id, t, row_id % (length(t) - 2) as k from
+ (select row_id, case when row_id % 3 = 0 then locality || ', ' || region || ', ' || road else locality end as t from d1) a) b"""
+
+
+@query(
+    "misspelt_towns",
+    ctes("d1", "d4", town_names=_KNOWN_TOWNS, town_texts=_WRITTEN)
+    + f""", known as (select distinct {sql.match_text('town')} as m from town_names),
+texts as (select distinct {sql.match_text('city')} as w from town_texts),
+near as (select w, m, damerau_levenshtein(w, m) as d from texts join known on abs(length(w) - length(m)) <= 2),
+best as (select w, arg_min(m, (d, m)) as read_as, cast(min(d) as int) as edits from near
+ where d <= case when length(w) < 4 then 0 when length(w) < 8 then 1 else 2 end group by w)
+select row_id, city, read_as, edits from town_texts left join best on w = {sql.match_text('city')}""",
+)
+def misspelt_towns(spark, sf):
+    """Which town does a misspelt one mean?"""
+    written = derived(spark, sf, "d1", town_texts=_WRITTEN)
+    return misspelt.read_misspelt(written, "city", derived(spark, sf, "d4", town_names=_KNOWN_TOWNS), "town")
+
+
 # The places as an earlier delivery had them: some are missing, some lie elsewhere or answer
 # to other names, and some have gone since.
 _EARLIER = """select case when place_id % 11 = 0 then place_id - 900000000 else place_id end as place_id,

@@ -107,6 +107,16 @@ def within_two_edits(left: Column, right: Column) -> Column:
     return F.when(plain.between(0, 2), True).when(plain.between(3, 4), found).otherwise(False)
 
 
+def one_edit(left: Column, right: Column) -> Column:
+    """True where the texts are one edit apart, an exchange of neighbours counting as one."""
+    plain = F.levenshtein(left, right, 2)
+    exchanged = F.exists(
+        F.array(_middles(left, right)),
+        lambda m: (F.length(m[0]) == 2) & (m[0] == F.reverse(m[1])),
+    )
+    return F.when(plain == 2, exchanged).otherwise(plain == 1)
+
+
 def edit_distance(a: str, b: str) -> int:
     """Unrestricted Damerau-Levenshtein distance of two texts."""
     start = 0
