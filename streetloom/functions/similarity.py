@@ -56,12 +56,21 @@ def _shared(a: Column, b: Column, side) -> Column:
     )
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, also when a lambda uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _middles(a: Column, b: Column) -> Column:
     """The two texts as an array, without what they share at their start and then at their end."""
-    start = _shared(a, b, F.left)
-    rests = F.array(F.substring(a, start + 1, F.length(a)), F.substring(b, start + 1, F.length(b)))
-    end = _shared(rests[0], rests[1], F.right)
-    return F.transform(rests, lambda rest: F.left(rest, F.length(rest) - end))
+
+    def cut(side, rest):
+        return lambda pair: _let(
+            _shared(pair[0], pair[1], side), lambda n: F.transform(pair, lambda t: rest(t, n))
+        )
+
+    rests = _let(F.array(a, b), cut(F.left, lambda t, n: F.substring(t, n + 1, F.length(t))))
+    return _let(rests, cut(F.right, lambda t, n: F.left(t, F.length(t) - n)))
 
 
 def _swaps(text: Column) -> Column:
