@@ -8,14 +8,18 @@ is the same on most pages is template; all others are slots.  The wrapper of a h
 template nodes with their digests; a page loses such a node only where its text is that one.
 Pages of a host with equal text vote once, so copies of a page do not make it template.
 
-The text of a page is all that is not template.  Where ``article`` elements, else ``main``,
+The text of a page is all that is not template.  Where ``main`` elements, else ``article``,
 hold half of the varying text of a host, they alone are its slot; where they hold less
 (teasers), the whole body is.  On hosts with too few pages to tell it is taken from the
-page's ``article`` elements, else ``main``, else the body.
-Elements that are never content by
-their tag (menus, scripts, footers) are left out everywhere.  Forms and elements that a role or
-a whole word of class or id calls no content (adverts, comments) are left out too, but not if
-they hold all ``article`` and ``main`` elements of the page, or nearly all varying text of its host.
+page's ``main`` elements, else ``article``, else the body.
+Elements that are never content by their tag (menus, scripts, footers) are left out everywhere.
+Forms, headers that belong to no ``article``, ``main`` or ``section``, and elements that a role, class or id
+calls no content (adverts, comments) are left out too, but not if they hold all ``article`` and
+``main`` elements of the page.  Names count whole (``comments``) or in a compound whose other
+words only name a place, a holder or an owner (``user-comments``, ``main-nav``, but neither
+``has-sidebar`` nor ``share-prices``).  Some names may also be those of a layout (forms, menus,
+sidebars): such an element stays where it holds nearly all varying text of its host or, on
+small hosts, nearly all text of the page.
 
 Each page is read twice; between the passes only skeletons, votes and wrappers exist, which
 are small beside the pages, and votes are added up before they are shuffled.  A host with a
@@ -46,7 +50,7 @@ MARKED = 0.5
 #: An element that seems to be no content is layout if it holds so many times the other text.
 LAYOUT = 4
 #: Nodes below this depth belong to their ancestor there.
-DEEPEST = 40
+DEEPEST = 200
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set(
@@ -68,43 +72,89 @@ WALLS = set("table ul ol dl div section article main body td th blockquote".spli
 DROPPED_ROLES = set(
     "navigation banner contentinfo complementary search form dialog alert menu menubar".split()
 )
-#: Class and id values, without digits, that mark elements as not content.
-DROPPED_NAMES = set(
-    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo cookie cookies "
-    "consent gdpr notice notices alert popup modal overlay newsletter subscribe signup sidebar "
-    "menu navbar navigation nav breadcrumb breadcrumbs pagination pager comment comments "
-    "disqus respond replies share sharing social related recommended widget masthead "
-    "footer toolbar skip".split()
+#: Words of class and id that mark elements as not content, whatever their size.
+FIRM_NAMES = set(
+    "ad ads advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr "
+    "newsletter subscribe comment comments disqus respond reply replies".split()
 )
-_NAME = re.compile(r"[a-z]+")
+#: Further ones, which a layout may carry too.
+DROPPED_NAMES = FIRM_NAMES | set(
+    "banner promo notice notices alert popup modal overlay signup sidebar menu navbar navigation nav "
+    "breadcrumb breadcrumbs pagination pager share sharing social related recommended widget "
+    "masthead footer toolbar skip".split()
+)
+#: Words that may stand beside one of these in a compound: places, holders, owners.
+BESIDE = set(
+    "area article articles bar block blog bottom box btn button buttons card cards col column "
+    "container desktop entry fixed form global group holder icons inner item items left link links list "
+    "lists main mobile module outer page panel post posts primary rail reader readers region right "
+    "row secondary section site slot sticky stories story sub thread top unit user users web "
+    "wrap wrapper zone".split()
+)
+#: Words beside those of reader comments.
+OF_COMMENTS = {"comment", "comments", "reply", "replies"}
+BESIDE_COMMENTS = BESIDE | {"author", "body", "content", "count", "meta", "text"}
+#: Words beside ``header`` that call an element the header of the whole site.
+OF_SITE = {"blog", "global", "site", "top", "web"}
+#: A header inside these belongs to the content.
+SECTIONS = {"article", "main", "section"}
+_WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 
 class Node:
     """An element; ``parts`` holds texts and child elements in page order."""
 
-    __slots__ = ("tag", "name", "dropped", "doubtful", "parts")
+    __slots__ = ("tag", "name", "dropped", "doubtful", "firm", "parts")
 
-    def __init__(self, tag: str, name: str = "", dropped: bool = False, doubtful: bool = False):
+    def __init__(self, tag: str, name: str = "", dropped: bool = False, doubt: int = 0):
         self.tag, self.name, self.parts = tag, name, []
-        self.dropped, self.doubtful = dropped or doubtful, doubtful and not dropped
+        self.dropped = dropped or doubt > 0
+        self.doubtful, self.firm = doubt > 0 and not dropped, dropped or doubt > 1
 
 
 def _is_dropped(tag: str, attrs: dict) -> bool:
     if tag in DROPPED or "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true":
         return True
-    if tag in ("article", "main"):
-        names = _NAME.findall((attrs.get("class") or "").lower())
-        return bool({"comment", "reply"} & set(names))
-    return False
+    return tag in ("article", "main") and any(OF_COMMENTS & set(n) for n in _names(attrs))
 
 
-def _is_doubtful(tag: str, attrs: dict) -> bool:
-    if tag == "form" or (attrs.get("role") or "").lower() in DROPPED_ROLES:
-        return True
+def _names(attrs: dict) -> list[list[str]]:
+    """The words of each name in class and id."""
+    if not ("class" in attrs or "id" in attrs):
+        return []
+    names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split()
+    return [[w.lower() for w in _WORD.findall(n)] for n in names]
+
+
+def _doubt_of(words: list[str]) -> int:
+    """Does a name call its element no content (1), whatever its size (2)?"""
+    doubt = 0
+    whole = "".join(words)
+    for word in {whole, *words} & DROPPED_NAMES:
+        beside = BESIDE_COMMENTS if word in OF_COMMENTS else BESIDE
+        if word == whole or all(w in beside or w in DROPPED_NAMES for w in words):
+            doubt = max(doubt, 2 if word in FIRM_NAMES else 1)
+    return doubt
+
+
+def _doubt(tag: str, attrs: dict, inside: bool) -> int:
+    """0: may be content; 1: is none unless it is the layout; 2: is none.
+
+    ``inside`` tells that the element stands in an article, main or section element.
+    """
     if tag in ("html", "body", "article", "main"):
-        return False
-    names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower().split()
-    return not DROPPED_NAMES.isdisjoint(n.rstrip("0123456789").rstrip("-_") for n in names)
+        return 0
+    names = _names(attrs)
+    doubt = max(map(_doubt_of, names), default=0)
+    for words in names:
+        others = set(words) - {"header"}
+        if "header" in words and others <= OF_SITE and (others or not inside):
+            doubt = 2
+    if tag == "header" and not inside:
+        doubt = 2
+    if tag == "form" or (attrs.get("role") or "").lower() in DROPPED_ROLES:
+        doubt = max(doubt, 1)
+    return doubt
 
 
 class _Reader(TolerantParser):
@@ -129,7 +179,8 @@ class _Reader(TolerantParser):
                     break
         values = dict(attrs)
         name = re.sub(r"\d+", "", values.get("class") or "")
-        node = Node(tag, " ".join(sorted(name.split())), _is_dropped(tag, values), _is_doubtful(tag, values))
+        doubt = _doubt(tag, values, any(n.tag in SECTIONS for n in self.open))
+        node = Node(tag, " ".join(sorted(name.split())), _is_dropped(tag, values), doubt)
         self.open[-1].parts.append(node)
         if tag not in VOID:
             self.open.append(node)
@@ -176,6 +227,23 @@ def keep_around(root: Node) -> None:
         stack += [(p, above) for p in node.parts if isinstance(p, Node)]
 
 
+def keep_layout(root: Node) -> None:
+    """Keep the doubtful element that holds nearly all text of a page, and those around it."""
+    found, stack = [], [(root, ())]
+    while stack:
+        node, above = stack.pop()
+        if node.dropped and (node.firm or not node.doubtful):
+            continue
+        if node.dropped:
+            above = (*above, node)
+            found.append((sum(map(len, blocks([node]))), above))
+        stack += [(p, above) for p in reversed(node.parts) if isinstance(p, Node)]
+    size, largest = max(found, key=lambda f: f[0], default=(0, ()))
+    if size >= LAYOUT * max(sum(map(len, blocks([root]))), 1):
+        for node in largest:
+            node.dropped = False
+
+
 def walk(top: Node, skip=frozenset()):
     """Texts and block edges (None) in page order, without dropped elements and ``skip``.
 
@@ -260,7 +328,7 @@ def skeleton(root: Node) -> Bone:
             for part in node.parts:
                 if not isinstance(part, Node) or part.tag in INLINE:
                     continue
-                if not part.dropped or part.doubtful:
+                if not part.dropped or (part.doubtful and not part.firm):
                     mark = "!." if part.dropped else ""
                     kinds.setdefault(f"{mark}{part.tag}.{part.name}", []).append(part)
         bone.sons = [Bone(sign, nodes) for sign, nodes in kinds.items()]
@@ -332,11 +400,20 @@ def template_nodes(pairs: dict[int, Bone], wrapper: dict) -> set[int]:
     return {id(n) for b in same for n in b.nodes}
 
 
+def marked_text(root: Node) -> str:
+    """The text of a page's main elements or, where they hold none, of its articles."""
+    kinds = ("\n".join(blocks(regions(root, tag))) for tag in ("main", "article"))
+    return next(filter(None, kinds), "")
+
+
 def content(root: Node, wrapper: dict | None) -> str:
     """The main text of a page."""
     if wrapper is None:
-        tops = regions(root, "article") or regions(root, "main") or [root]
-        return "\n".join(blocks(tops))
+        text = marked_text(root)
+        if not text:
+            keep_layout(root)
+            text = "\n".join(blocks([root]))
+        return text
     pairs = {b.number: a for a, b in tree_match(skeleton(root), from_list(wrapper["tree"]))[1]}
     layout = around(from_list(wrapper["tree"]), set(wrapper["layout"]))
     for k in layout & pairs.keys():
@@ -410,10 +487,10 @@ def wrappers(spark: SparkSession, pages: DataFrame) -> DataFrame:
             F.when((F.col("tag") == "!") & ~F.col("constant"), F.struct("node", "varying"))
         ).alias("doubtful"),
         *[F.coalesce(F.sum(F.when(F.col("tag") == t, F.col("varying"))), F.lit(0)).alias(f"{t}_text")
-          for t in ("html", "article", "main")],
+          for t in ("html", "main", "article")],
     )
     inside = [F.when(F.col(f"{t}_text") >= F.greatest(MARKED * F.col("html_text"), F.lit(1)), F.lit(t))
-              for t in ("article", "main")]
+              for t in ("main", "article")]
     # (an element in doubt is not part of the text of those around it)
     layout = F.filter(
         "doubtful", lambda x: x["varying"] >= LAYOUT * F.greatest("html_text", F.lit(1))

@@ -381,6 +381,61 @@ def test_html_names_do_not_drop_layout(spark):
         assert lines == [f"n{k}", f"own n{k} " * 29 + f"own n{k}"]
 
 
+def test_html_names_drop_what_is_no_content(spark):
+    from streetloom.llm.html_text import content, parse
+
+    own = "<p>own {0}</p>"
+    dropped = [
+        "<div class='comments-list'>x {0}</div>", "<section class='reader-comments'><p>x {0}</p></section>",
+        "<ul class='related-posts'><li>x {0}</ul>", "<div class='cookie-banner'>x {0}</div>",
+        "<div class='side-bar'>x {0}</div>", "<div id=user-comments>x {0}</div>", "<div class='ad-slot'>x {0}</div>",
+        "<div class='mainNav'>x {0}</div>", "<div class='comment-body'>x {0}</div>",
+    ]
+    outside = [
+        "<header><h1>My Site</h1><p>slogan {0}</p></header>", "<div class='site-header'>x {0}</div>",
+        "<div class='site-footer'>x {0}</div>", "<div class='header'>x {0}</div>",
+    ]
+    kept = ["<div class='related-work'><p>r {0}</p></div>", "<p class='no-sidebar'>s {0}</p>", "<div class=comments-open>c {0}</div>"]
+    pages = [f"<body>{d}<article>{own}</article>{d}" for d in dropped + outside]
+    pages += [f"<body><article>{own}{d}</article>" for d in dropped]
+    pages += [f"<body>{d}<div class=in>{own}</div>" for d in dropped + outside]
+    for page in pages:
+        assert content(parse(page), None) == "own {0}", page
+    both = "<body>" + "".join(dropped + outside) + "<div class=in>" + own + "".join(kept + dropped) + "</div>"
+    for count in (2, 8):
+        for k, lines in texts_of(spark, both, count).items():
+            assert lines == [f"own n{k}", f"r n{k}", f"s n{k}", f"c n{k}"]
+
+
+def test_html_main_before_its_articles(spark):
+    page = "<body><main><p>lead {0}</p><article><header><h1>head {0}</h1></header><p>card {0}</p></article></main><p>x {0}</p>"
+    for count in (2, 8):
+        for k, lines in texts_of(spark, page, count).items():
+            assert lines == [f"lead n{k}", f"head n{k}", f"card n{k}"]
+
+
+def test_html_layout_without_marks_on_small_hosts(spark):
+    page = "<body><h1>{0}</h1><form><div class=sidebar><p>" + "own {0} " * 30 + "</p><div class=ad>buy {0}</div></div></form>"
+    comments = "<body><p>own {0}</p><div class=comments>" + "mine {0} " * 30 + "</div>"
+    for k, lines in texts_of(spark, page, 2).items():
+        assert lines == [f"n{k}", f"own n{k} " * 29 + f"own n{k}"]
+    for count in (2, 8):
+        for k, lines in texts_of(spark, comments, count).items():
+            assert lines == [f"own n{k}"]
+
+
+def test_html_deep_and_long_pages(spark):
+    deep = "<body>" + "<div>" * 120 + "<p>own {0}</p><p class=x>same</p>" + "</div>" * 120
+    deeper = "<body>" + "<div>" * 3000 + "<p>own {0}</p>"
+    long = "<body><article>" + "<p>own {0} &amp; more</p>" * 20000
+    for k, lines in texts_of(spark, deep).items():
+        assert lines == [f"own n{k}"]
+    for k, lines in texts_of(spark, deeper).items():
+        assert lines == [f"own n{k}"]
+    for k, lines in texts_of(spark, long, 2).items():
+        assert lines == [f"own n{k} & more"] * 20000
+
+
 def test_pipeline(spark):
     rows, docs = awkward(spark)
     whole = spark.read.parquet(f"{SF_DIR}/documents.parquet")
