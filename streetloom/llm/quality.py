@@ -34,12 +34,13 @@ LEAST = 100
 SALTS = 16
 
 #: Ratio: numerator, denominator, sides that are judged, and the least distance of a fence from
-#: the median in scaled units, so that a uniform group does not reject small differences.
+#: the median in scaled units, so that a uniform group does not reject small differences.  That
+#: of repeats is below the base rule's fifth of all words, so that its fence can act.
 RATIOS = {
     "word_length": ("word_chars", "n_words", "both", 3 * SCALE),
     "symbols": ("n_symbols", "n_words", "high", SCALE // 10),
     "dup_lines": ("n_dup_lines", "n_lines", "high", SCALE * 3 // 10),
-    "repeats": ("n_repeat_words", "n_words", "high", SCALE // 5),
+    "repeats": ("n_repeat_words", "n_words", "high", SCALE // 8),
 }
 METRICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 

@@ -7,7 +7,7 @@ _RATIOS = [
     ("word_length", "word_chars", "n_words", True, 30000),
     ("symbols", "n_symbols", "n_words", False, 1000),
     ("dup_lines", "n_dup_lines", "n_lines", False, 3000),
-    ("repeats", "n_repeat_words", "n_words", False, 2000),
+    ("repeats", "n_repeat_words", "n_words", False, 1250),
 ]
 
 

@@ -76,6 +76,22 @@ def test_quality_awkward(spark):
     assert quality(spark, empty(spark)).count() == 0
 
 
+def test_quality_repeats_act_below_the_base_rule(spark):
+    def text(k, times):
+        # ``times`` copies of one window among words that occur once
+        return " ".join(["aa bb cc dd ee"] * times + [f"w{k}x{i}" for i in range(100 - 5 * times)])
+
+    rows = [(k, text(k, 0), "s", "en") for k in range(300)]
+    rows += [(1000, text(1000, 3), "s", "en"), (1001, text(1001, 2), "s", "en")]
+    # in a group that repeats throughout, the same text is no outlier
+    rows += [(2000 + k, text(2000 + k, k % 4), "t", "en") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = {r["doc_id"]: r for r in quality(spark, docs).collect()}
+    assert got[1000]["n_repeat_words"] == 15 and not got[1000]["base_failed"]
+    assert not got[1000]["kept"] and got[1001]["kept"]
+    assert all(r["kept"] for k, r in got.items() if k != 1000)
+
+
 def brute_lines(rows, least=50):
     """Deleted (row, line) pairs by comparing all runs of lines with enough words."""
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i))
