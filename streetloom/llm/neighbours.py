@@ -5,13 +5,16 @@ dense, so that lists have similar lengths.  They are searched through an in-memo
 that links each centroid with its nearest ones.  A vector goes to the list of its nearest
 centroid and, near a boundary, to those of other centroids whose distance is not much larger.
 A query reads the lists whose centroid's distance is within a ratio of the nearest one's.
+How many lists that may be, and the ratio, are fitted to the data: the true neighbours of a bounded
+sample of queries are looked up in all rows, and beam and ratio are wide enough for nearly all of
+them, whatever the number of lists.
 Long lists are cut into parts, and so are the queries of a list; every task compares one
 part of each.  Scores are computed on the original vectors in double precision, by one
 formula for every pair, so equal vectors tie exactly and the smaller vec_id comes first.
 Queries with fewer than k answers are compared with all rows, in blocks.
 
-Bounds: the sample and the centroids are broadcast; their numbers are `SAMPLE_PER_LIST` and
-`MOST_LISTS` at most.  Every valid vector is in a list, whatever the sample.
+Bounds: the sample, the centroids and the sampled queries are broadcast; their numbers are
+`SAMPLE_PER_LIST`, `MOST_LISTS` and `PROBES` at most.  Every valid vector is in a list, whatever the sample.
 
 Defined results: vectors that are null, zero, of another length than most, or that hold a
 null or non-finite component take no part, neither do rows without vec_id; repeated rows are
@@ -34,11 +37,14 @@ from streetloom.llm.common import staged
 LIST_LENGTH = 200
 MOST_LISTS = 16_384
 SAMPLE_PER_LIST = 20
-#: Lists that the graph search looks at, for vectors and for queries.
+#: Lists that the graph search looks at, for vectors and at least for queries.
 BEAM = 32
+#: Queries whose true neighbours tell how many lists must be read, the share of these neighbours
+#: that must be met, and the room beside what the sample needs.
+PROBES, MET, ROOM = 256, 0.97, 1.25
 #: Distance ratio up to which a vector is replicated, and the largest number of its lists.
 BOUNDARY, REPLICAS = 1.1, 4
-#: Distance ratio up to which a query reads lists, and candidates it reads in any case beside
+#: Least distance ratio up to which a query reads lists, and candidates it reads in any case beside
 #: further rows of its own vec_id.
 REACH, LEAST_READ = 1.35, 64
 #: Rows of a list and of its queries that one task compares.
@@ -98,9 +104,13 @@ class CentroidGraph:
         self.entries = rng.permutation(n)[:BEAM]
 
     def search(self, x: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
-        """The nearest centroids of unit rows ``x``, nearest first: ids and likeness."""
+        """The nearest centroids of unit rows ``x``, nearest first: ids and likeness.
+
+        A wide beam opens several centroids a step.
+        """
         n, rows = len(self.points), np.arange(len(x))[:, None]
         beam = min(beam, n)
+        width = max(1, beam // BEAM)
         ids = np.broadcast_to(self.entries, (len(x), len(self.entries)))
         like = x @ self.points[self.entries].T
         met = np.zeros((len(x), n), bool)
@@ -112,20 +122,17 @@ class CentroidGraph:
             todo = np.flatnonzero(~opened.all(axis=1))
             if not len(todo):
                 return ids, like
-            spot = opened[todo].argmin(axis=1)  # the nearest that was not opened yet
-            opened[todo, spot] = True
-            ahead = self.links[ids[todo, spot]]
+            # the nearest that were not opened yet
+            spot = np.argsort(opened[todo], axis=1, kind="stable")[:, :width]
+            fresh = ~opened[todo[:, None], spot]
+            opened[todo[:, None], spot] = True
+            ahead = self.links[ids[todo[:, None], spot]]
+            fresh = np.repeat(fresh, ahead.shape[2], axis=1)
+            ahead = ahead.reshape(len(todo), -1)
+            new = fresh & ~met[todo[:, None], ahead] & _first_in_row(ahead, fresh)
+            at, place = np.nonzero(new)
+            met[todo[at], ahead[at, place]] = True
             value = np.full((len(x), ahead.shape[1]), -np.inf)
-            new = ~met[todo[:, None], ahead]
-            # a link that occurs twice in a row counts once
-            ahead_sorted = np.sort(ahead, axis=1)
-            if (ahead_sorted[:, 1:] == ahead_sorted[:, :-1]).any():
-                for r in range(ahead.shape[0]):
-                    _, first = np.unique(ahead[r], return_index=True)
-                    keep = np.zeros(ahead.shape[1], bool)
-                    keep[first] = True
-                    new[r] &= keep
-            met[todo[:, None], ahead] = True
             found = np.einsum("rd,rld->rl", x[todo], self.points[ahead])
             value[todo] = np.where(new, found, -np.inf)
             spread = np.zeros((len(x), ahead.shape[1]), np.int64)
@@ -135,6 +142,18 @@ class CentroidGraph:
             opened = np.hstack([opened, ~np.isfinite(value)])
 
 
+def _first_in_row(values: np.ndarray, counted: np.ndarray) -> np.ndarray:
+    """True at the first counted place of each value in its row."""
+    keys = 2 * values + ~counted
+    order = np.argsort(keys, axis=1, kind="stable")
+    ordered = np.take_along_axis(values, order, axis=1)
+    first = np.ones(values.shape, bool)
+    first[:, 1:] = ordered[:, 1:] != ordered[:, :-1]
+    out = np.empty(values.shape, bool)
+    np.put_along_axis(out, order, first, axis=1)
+    return out & counted
+
+
 def _distance(like: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2 - 2 * like, 0))
 
@@ -159,19 +178,22 @@ def valid_vectors(table: DataFrame) -> DataFrame:
     )
 
 
-def _postings(rows: DataFrame, index, ratio: float, most: int, sizes=None) -> DataFrame:
+def _postings(
+    rows: DataFrame, index, ratio: float, most: int, sizes=None, beam: int = BEAM
+) -> DataFrame:
     """Rows with ``list``: one per list that a vector goes to (or, with sizes, reads).
 
     With sizes, a fourth column ``own`` counts the rows of the query's vec_id.
     """
+    step = max(1, 1024 * BEAM // beam)
 
     def run(batches):
         graph, counts = index.value, None if sizes is None else sizes.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
                 x = _unit(_vectors(part.column(2)).astype(np.float64))
-                ids, like = graph.search(x)
+                ids, like = graph.search(x, beam)
                 far = _distance(like)
                 use = far <= ratio * far[:, :1] + 1e-12
                 use[:, most:] = False
@@ -218,6 +240,62 @@ def _best(query: pd.DataFrame, vectors: pd.DataFrame, k: int) -> pd.DataFrame:
     return pd.concat(out, ignore_index=True)
 
 
+def _true_neighbours(rows: DataFrame, probes, k: int) -> DataFrame:
+    """Rows (probe, rid): the ``k`` nearest rows of each probe, by comparison with all."""
+
+    def run(batches):
+        own, x = probes.value
+        best = [np.empty((len(x), 0)), np.empty((len(x), 0), np.int64)]
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                ids = part.column(1).to_numpy(zero_copy_only=False)
+                like = x @ _unit(_vectors(part.column(2)).astype(np.float64)).T
+                like[own[:, None] == ids[None, :]] = -np.inf
+                rid = np.broadcast_to(part.column(0).to_numpy(), like.shape)
+                like, rid = np.hstack([best[0], like]), np.hstack([best[1], rid])
+                top = np.argsort(-like, axis=1, kind="stable")[:, :k]
+                best = [np.take_along_axis(v, top, axis=1) for v in (like, rid)]
+        probe, place = np.nonzero(np.isfinite(best[0]))
+        columns = probe, best[0][probe, place], best[1][probe, place]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["probe", "score", "rid"])
+
+    found = rows.select("rid", "vec_id", "v").mapInArrow(run, "probe long, score double, rid long")
+    order = Window.partitionBy("probe").orderBy(F.desc("score"), "rid")
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("probe", "rid")
+
+
+def _spread(spark, rows, posted, asked, graph: CentroidGraph, k: int) -> tuple[int, float]:
+    """Beam and distance ratio that meet `MET` of the true neighbours of a sample of queries."""
+    sample = asked.orderBy(F.xxhash64("rid", "vec_id"), "rid").limit(PROBES).select("vec_id", "v").toArrow()
+    if not sample.num_rows:
+        return BEAM, REACH
+    own = sample["vec_id"].to_numpy()
+    x = _unit(_vectors(sample["v"].combine_chunks()).astype(np.float64))
+    truth = _true_neighbours(rows, spark.sparkContext.broadcast((own, x)), k)
+    truth = staged(spark, truth, "truth")  # k rows per sampled query
+    held = posted.select("rid", "list").join(F.broadcast(truth), "rid").collect()
+    order = np.argsort(-(x @ graph.points.T), axis=1, kind="stable")
+    place = np.empty_like(order)
+    np.put_along_axis(place, order, np.arange(order.shape[1])[None, :], axis=1)
+    needed: dict[tuple[int, int], int] = {}
+    for row in held:
+        key = row["probe"], row["rid"]
+        rank = int(place[row["probe"], row["list"]])
+        needed[key] = min(rank, needed.get(key, rank))
+    if not needed:
+        return BEAM, REACH
+    far = _distance(np.take_along_axis(x @ graph.points.T, order, axis=1))
+    ratios = [far[p, rank] / max(far[p, 0], 1e-9) for (p, _), rank in needed.items()]
+    ranks = np.quantile(list(needed.values()), MET, method="higher")
+    beam = int(min(len(graph.points), max(BEAM, ROOM * (ranks + 1))))
+    # ratios of queries that lie on a centroid say nothing; those read the least number of rows
+    near = [r for r, (p, _) in zip(ratios, needed, strict=True) if far[p, 0] > 1e-6]
+    reach = np.quantile(near, MET, method="higher") if near else REACH
+    return beam, float(max(REACH, reach))
+
+
 def nearest(
     spark: SparkSession, table: DataFrame, queries: DataFrame, k: int = 5
 ) -> DataFrame:
@@ -247,7 +325,8 @@ def nearest(
     counted = asked.join(own, "vec_id", "left").select(
         "rid", "vec_id", "v", F.coalesce("own", F.lit(0)).alias("own")
     )
-    read = _postings(counted, index, REACH, BEAM, spark.sparkContext.broadcast(counts))
+    beam, reach = _spread(spark, rows, posted, asked, graph, k)
+    read = _postings(counted, index, reach, beam, spark.sparkContext.broadcast(counts), beam)
     read = staged(spark, read, "reads")
     reads = read.groupBy("list").agg(F.count(F.lit(1)).alias("m"))
     cuts = sizes.join(reads, "list").select(

@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from checks.compare import _sorted
-from streetloom.llm import queries
+from streetloom.llm import neighbours, queries
 from streetloom.llm.bpe import Bpe, encoded
 from streetloom.llm.chat import digests, escape, formatted, read_turns, render, unescape
 from streetloom.llm.html_text import extracted
@@ -306,6 +306,26 @@ def test_neighbours_recall_and_ties(spark):
     assert [r["rank"] for r in few] == [1, 2, 3]
 
 
+@pytest.mark.parametrize("clustered", [False, True])
+def test_neighbours_recall_with_many_lists(spark, monkeypatch, clustered):
+    monkeypatch.setattr(neighbours, "LIST_LENGTH", 12)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(6000, 24))
+    if clustered:
+        x = 3 * rng.normal(size=(40, 24))[rng.integers(0, 40, 6000)] + x
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = nearest(spark, table, table.where("vec_id % 50 = 0")).collect()
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    hits = 0
+    for q in range(0, 6000, 50):
+        like = unit @ unit[q]
+        like[q] = -2
+        ids = {r["vec_id"] for r in got if r["query_id"] == q}
+        hits += len(ids & set(np.argsort(-like)[:5].tolist()))
+    assert hits / 600 >= 0.9
+    assert nearest(spark, table, table.limit(0)).count() == 0
+
+
 def test_neighbours_of_a_repeated_row(spark):
     x = np.abs(np.random.default_rng(6).normal(size=(600, 16)))
     x[7] *= -1  # far from all others, so that no list of its centroids holds them
