@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import codecs
 import html
+import json
 import re
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column
@@ -86,9 +88,59 @@ def _unicode_unescape(text: pd.Series) -> pd.Series:
     return text.map(_decode_escapes, na_action="ignore")
 
 
-@F.pandas_udf(T.StringType())
-def _html_unescape(text: pd.Series) -> pd.Series:
-    return text.map(html.unescape, na_action="ignore")
+# A reference, or the text between two of them.
+_REFERENCE = r"&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&[^\t\n\f <&#;]{1,32};?|[^&]+|&"
+# Names that count without a semicolon, also where further letters follow; the longest fits first.
+_OPEN_NAMES = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
+# What the numbers of control characters stand for.
+_CONTROLS = {n: html.unescape(f"&#{n};") for n in [*range(32), *range(127, 160)]}
+
+
+def _constant(value: dict, kind: str) -> Column:
+    """A constant column that is parsed once per plan."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
+def _character(digits: Column, base: int) -> Column:
+    """The character of a number; none for what is no character."""
+    short = F.regexp_replace(digits, "^0+(?=.)", "")
+    number = F.conv(F.left(short, F.lit(8)), base, 10).cast("long")
+    # the mark in front keeps a character that looks like a mark itself
+    words = F.concat(F.lit("0000FEFF"), F.lpad(F.hex(number), 8, "0"))
+    controls = _constant(_CONTROLS, "map<string,string>")
+    none = number.between(0xFDD0, 0xFDEF) | (number.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    return (
+        F.when((F.length(short) > 7) | (number > 0x10FFFF), "\ufffd")
+        .when(number.between(0xD800, 0xDFFF), "\ufffd")
+        .when(none, "")
+        .when((number < 32) | number.between(127, 159), F.try_element_at(controls, number.cast("string")))
+        .otherwise(F.decode(F.unhex(words), "UTF-32"))
+    )
+
+
+def _named(name: Column) -> Column:
+    """What a name stands for: the whole of it, else its longest start that is one, else itself."""
+    by_letter: dict[str, dict[str, str]] = {}
+    for key, value in html5.items():
+        by_letter.setdefault(key[0], {})[key] = value
+    table = _constant(by_letter, "map<string,map<string,string>>")
+
+    def known(key: Column) -> Column:
+        return F.try_element_at(F.try_element_at(table, F.left(key, F.lit(1))), key)
+
+    start = F.regexp_extract(name, f"^(?:{_OPEN_NAMES})", 0)
+    rest = F.substring(name, F.length(start) + 1, F.length(name))
+    return F.coalesce(known(name), F.concat(known(start), rest), F.concat(F.lit("&"), name))
+
+
+def _resolved(piece: Column) -> Column:
+    digits = F.regexp_replace(piece, "^&#[xX]?|;$", "")
+    return (
+        F.when(~piece.startswith("&") | (piece == "&"), piece)
+        .when(piece.rlike("^&#[xX]"), _character(digits, 16))
+        .when(piece.startswith("&#"), _character(digits, 10))
+        .otherwise(_named(F.substring(piece, F.lit(2), F.length(piece))))
+    )
 
 
 def unicode_unescape(text: Column) -> Column:
@@ -99,5 +151,5 @@ def unicode_unescape(text: Column) -> Column:
 
 def html_unescape(text: Column) -> Column:
     """Resolve HTML entities in text that holds ``&``."""
-    hit = text.contains("&")
-    return F.when(hit, _html_unescape(F.when(hit, text))).otherwise(text)
+    pieces = F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0))
+    return F.when(text.contains("&"), F.array_join(F.transform(pieces, _resolved), "")).otherwise(text)

@@ -1,4 +1,7 @@
 import html
+from html.entities import html5
+
+from pyspark.sql import functions as F
 
 from streetloom.functions import address, text
 
@@ -23,6 +26,21 @@ def test_html_entities(one):
     assert one(text.html_unescape, rows, "s string") == [r and html.unescape(r) for r in rows]
 
 
+def test_all_html_entities(one):
+    rows = [f"a &{name} b&{name}x &{name[:-1]}" for name in html5]
+    numbers = [*range(300), 0xD7FF, 0xD800, 0xDFFF, 0xFDCF, 0xFDD0, 0xFDEF, 0xFDF0, 0xFEFF, 0xFFFD, 0xFFFE, 0xFFFF, 0x10000]
+    numbers += [0x1F600, 0x1FFFE, 0x10FFFD, 0x10FFFF, 0x110000, 10**9, 16**9, 10**30]
+    rows += [f"&#{n};&#{n} &#x{n:x};&#X{n:X}z&#000{n};" for n in numbers]
+    rows += ["&", "&&", "&;", "&#;", "&#x;", "&#xg", "& amp;", "&ampamp;", "&notit;", "&notin;", "&" + "a" * 40 + ";"]
+    rows += ["&lt&gt", "&é;", "&\namp;", "\ud7ff&😀amp;", "&amp;lt;", "a\n&quot\r\n", "&" + "&amp" * 500]
+    assert one(text.html_unescape, rows, "s string") == [html.unescape(r) for r in rows]
+
+
+def test_html_entities_stay_in_the_jvm(spark):
+    plan = spark.range(1).select(text.html_unescape(F.col("id").cast("string")))
+    assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
 def test_whitespace(one):
     rows = ["  a\nb  ", " x ", " \t\n", "", "a  b", None]
     assert one(text.clean_whitespace, rows, "s string") == ["a b", "x", None, None, "a  b", None]
