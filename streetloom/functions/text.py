@@ -101,21 +101,32 @@ def _constant(value: dict, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(value)), kind)
 
 
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, also inside a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _character(digits: Column, base: int) -> Column:
     """The character of a number; none for what is no character."""
-    short = F.regexp_replace(digits, "^0+(?=.)", "")
-    number = F.conv(F.left(short, F.lit(8)), base, 10).cast("long")
-    # the mark in front keeps a character that looks like a mark itself
-    words = F.concat(F.lit("0000FEFF"), F.lpad(F.hex(number), 8, "0"))
     controls = _constant(_CONTROLS, "map<string,string>")
-    none = number.between(0xFDD0, 0xFDEF) | (number.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
-    return (
-        F.when((F.length(short) > 7) | (number > 0x10FFFF), "\ufffd")
-        .when(number.between(0xD800, 0xDFFF), "\ufffd")
-        .when(none, "")
-        .when((number < 32) | number.between(127, 159), F.try_element_at(controls, number.cast("string")))
-        .otherwise(F.decode(F.unhex(words), "UTF-32"))
-    )
+
+    def character(number: Column) -> Column:
+        # the mark in front keeps a character that looks like a mark itself
+        words = F.concat(F.lit("0000FEFF"), F.lpad(F.hex(number), 8, "0"))
+        none = number.between(0xFDD0, 0xFDEF) | (number.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+        return (
+            F.when(number.between(32, 126), F.char(number))
+            .when(number < 160, F.try_element_at(controls, number.cast("string")))
+            .when(number.between(0xD800, 0xDFFF) | (number > 0x10FFFF), "\ufffd")
+            .when(none, "")
+            .otherwise(F.decode(F.unhex(words), "UTF-32"))
+        )
+
+    # numbers of more than fifteen digits, zeros in front apart, are beyond all characters
+    short = F.ltrim(digits, F.lit("0"))
+    number = F.conv(F.left(F.concat(F.lit("0"), short), F.lit(16)), base, 10).cast("long")
+    beyond = F.when(F.length(short) > 15, F.lit(0x110000)).otherwise(number)
+    return _bound(beyond.cast("long"), character)
 
 
 def _named(name: Column) -> Column:
@@ -134,11 +145,13 @@ def _named(name: Column) -> Column:
 
 
 def _resolved(piece: Column) -> Column:
-    digits = F.regexp_replace(piece, "^&#[xX]?|;$", "")
+    def digits(first: int) -> Column:
+        return F.rtrim(F.substring(piece, F.lit(first), F.length(piece)), F.lit(";"))
+
     return (
         F.when(~piece.startswith("&") | (piece == "&"), piece)
-        .when(piece.rlike("^&#[xX]"), _character(digits, 16))
-        .when(piece.startswith("&#"), _character(digits, 10))
+        .when(piece.startswith("&#x") | piece.startswith("&#X"), _character(digits(4), 16))
+        .when(piece.startswith("&#"), _character(digits(3), 10))
         .otherwise(_named(F.substring(piece, F.lit(2), F.length(piece))))
     )
 
