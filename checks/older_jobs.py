@@ -116,10 +116,7 @@ def legacy_clean(spark, sf):
     CLEAN + """select 'clean:count_before' as stage, count(*) as "rows" from raw union all select 'clean:count_after', count(*) from clean""",
 )
 def clean_counts(spark, sf):
-    raw = rows(spark, sf)
-    return tables.stage_counts(
-        {"clean:count_before": raw, "clean:count_after": older.clean_rows(raw, ["ordinal"])}
-    )
+    return older.clean_counts(rows(spark, sf), ["ordinal"])
 
 
 @query(

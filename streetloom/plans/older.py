@@ -66,12 +66,38 @@ def clean_rows(rows: DataFrame, order: Sequence[str] = ("url",)) -> DataFrame:
 
     Copies are rows that agree in all but ``url``; the first by ``order`` stays.
     """
+    flat = tables.map_strings(_tidy(rows).where(_usable()), text.collapse_first_space)
+    return tables.dedupe_keep_first(flat, ignore=["url"], order=list(order))
+
+
+def clean_counts(rows: DataFrame, order: Sequence[str] = ("url",)) -> DataFrame:
+    """(stage, rows) before and after `clean_rows`, from one pass over the rows.
+
+    Rows that are dropped fall into one group, which is counted before the shuffle.
+    """
+    flat = tables.map_strings(_tidy(rows), text.collapse_first_space)
+    keys = [F.col(f"`{c}`") for c in flat.columns if c != "url" and c not in order]
+    groups = flat.groupBy(F.when(_usable(), F.struct(*keys)).alias("_row")).agg(
+        F.count(F.lit(1)).alias("_copies")
+    )
+    totals = groups.agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("before"), F.count("_row").alias("after")
+    )
+    stages = [
+        F.struct(F.lit(f"clean:count_{c}").alias("stage"), F.col(c).alias("rows"))
+        for c in ("before", "after")
+    ]
+    return totals.select(F.inline(F.array(*stages)))
+
+
+def _tidy(rows: DataFrame) -> DataFrame:
     kept = rows.drop("postOfficeBoxNumber")
     plain = cleaning.unescape(kept, tables.string_columns(kept, exclude=["url"]))
-    tidy = tables.map_strings(plain, text.blank_to_null, exclude=["url"])
-    usable = tidy.where(text.has_alnum(F.col("locality")) & text.has_alnum(F.col("street")))
-    flat = tables.map_strings(usable, text.collapse_first_space)
-    return tables.dedupe_keep_first(flat, ignore=["url"], order=list(order))
+    return tables.map_strings(plain, text.blank_to_null, exclude=["url"])
+
+
+def _usable():
+    return text.has_alnum(F.col("locality")) & text.has_alnum(F.col("street"))
 
 
 def unpack_wikidata(rows: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ import hashlib
 from pyspark.sql import functions as F
 
 from streetloom.operators import repair, tables
+from streetloom.plans import older
 
 
 def test_row_ids_are_complete_and_repeatable(spark):
@@ -50,6 +51,17 @@ def test_observed_count(spark):
     assert seen.get == {"rows": 7}
 
 
+def test_clean_counts_of_one_pass(spark):
+    kind = "name string, street string, locality string, url string"
+    some = [("a", "s 1", "x", "u1"), ("a", "s  1", "x", "u2"), ("a", " - ", "x", "u"), ("b", None, "x", "u"), (None, "s", "y", None)]
+    for values in (some, []):
+        df = spark.createDataFrame(values, kind)
+        counts = older.clean_counts(df)
+        got = {r["stage"]: r["rows"] for r in counts.collect()}
+        assert got == {"clean:count_before": len(values), "clean:count_after": older.clean_rows(df).count()}
+        assert counts._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") <= 1
+
+
 def _repair(spark, rows):
     """rows of (truth, dirty, repaired) for one column"""
     numbered = [(i, *r) for i, r in enumerate(rows)]
