@@ -693,6 +693,19 @@ def legacy_preprocess(spark, sf):
     )
 
 
+_STEPS = """select file_id, unnest(list_filter([
+ case when rec_type = 'response' then 'preprocess:response' end,
+ case when rec_type = 'response' and http_content_type is not null then 'preprocess:has_content_type' end,
+ case when rec_type = 'response' and regexp_matches(lower(http_content_type), 'html|xml') then 'preprocess:xml_content_type' end,
+ case when rec_type = 'response' and regexp_matches(lower(http_content_type), 'html|xml')
+  and contains(lower(html), '"address"') then 'preprocess:contains_address' end], lambda k: k is not null)) as key from d9"""
+
+
+@query("older_counters", ctes("d9", steps=_STEPS) + "select file_id, key, count(*) as value from steps group by all")
+def older_counters(spark, sf):
+    return counters.count_keys(records(spark, sf), counters.older_record_keys())
+
+
 @query("address_window", OLDER + f"select page_id, {_WINDOW} as content_hex from cut")
 def address_window(spark, sf):
     pages = crawl.mentions_address_member(crawl.html_responses(records(spark, sf), ignore_case=True))

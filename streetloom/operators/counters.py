@@ -29,6 +29,23 @@ def record_keys() -> Column:
     )
 
 
+def older_record_keys() -> Column:
+    """Counter keys of the older preprocessing: how far each record gets."""
+    header = F.col("http_content_type")
+    response = F.col("rec_type") == "response"
+    typed = response & header.isNotNull()
+    markup = typed & content.is_markup(F.lower(header))
+    marked = markup & F.lower(content.latin1(F.col("body"))).contains(content.ADDRESS_MARK)
+    return F.array_compact(
+        F.array(
+            F.when(response, F.lit("preprocess:response")),
+            F.when(typed, F.lit("preprocess:has_content_type")),
+            F.when(markup, F.lit("preprocess:xml_content_type")),
+            F.when(marked, F.lit("preprocess:contains_address")),
+        )
+    )
+
+
 def count_keys(records: DataFrame, keys: Column, by: Sequence[str] = ("file_id",)) -> DataFrame:
     """(file_id, key, value): how often each key occurs.  Counts combine before the shuffle."""
     return (
