@@ -35,6 +35,9 @@ CONTENTS = [
 ANCHORS = [("postcode",), ("locality", "region"), ("locality",)]
 LEVELS = [content + anchor for content in CONTENTS for anchor in ANCHORS]
 
+#: Places whose keys one task combines.
+TASK_PLACES = 1 << 14
+
 _SEP = "\x1f"
 _FIELDS = ["name", "road", "house_number", "postcode", "locality", "region"]
 
@@ -74,9 +77,11 @@ def place_index(places: DataFrame) -> DataFrame:
     """(key, place_id): the one place that answers each key.
 
     The index depends on the places only; `streetloom.sources.places` keeps it as a table for
-    repeated use.
+    repeated use.  A place has dozens of keys, which its task holds at once to combine them, so
+    the places are counted and shared out first.
     """
-    return place_postings(places).groupBy("key").agg(F.min("place_id").alias("place_id"))
+    even = places.repartition(-(-places.count() // TASK_PLACES) or 1)
+    return place_postings(even).groupBy("key").agg(F.min("place_id").alias("place_id"))
 
 
 def geocode(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from streetloom.operators.tables import content_hash
 from streetloom.session import scratch_folder
-from streetloom.sources import buckets, runs
+from streetloom.sources import buckets
 
 NAME, KEY = "rows", "row_hash"
 
@@ -25,7 +25,7 @@ def _ddl(columns: list[str]) -> str:
 
 
 def create(spark: SparkSession, folder: str, files: int = buckets.BUCKETS) -> None:
-    """An empty table in a folder not yet in use."""
+    """An empty table in a folder not yet in use, of ``files`` buckets until it needs more."""
     buckets.lay_out(spark, folder, files)
 
 
@@ -36,9 +36,11 @@ def add(spark: SparkSession, folder: str, rows: DataFrame, columns: list[str]) -
         keyed = rows.select(content_hash(columns).alias(KEY), *columns).distinct()
         known = buckets.committed(spark, folder, NAME, ddl, KEY).select(KEY)
         keyed.join(known, KEY, "left_anti").write.parquet(f"{stage}/new")
+        new = spark.read.parquet(f"{stage}/new")
         gen = buckets.next_generation(spark, folder)
-        buckets.append(spark, folder, NAME, ddl, KEY, spark.read.parquet(f"{stage}/new"), gen)
-        runs.commit(spark, folder, str(gen))
+        layout = buckets.room(spark, folder, [(NAME, ddl, KEY)], new.count())
+        buckets.append(spark, folder, layout, NAME, ddl, KEY, new, gen)
+        buckets.commit(spark, folder, layout, gen)
     return gen
 
 

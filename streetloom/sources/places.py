@@ -8,7 +8,8 @@ of each place, which their bucket holds, so reading needs no shuffle either.
 
 A merge works out keys of changed places only.  A key whose place changed or went is answered
 anew from all places that have it; any other key only if a changed place comes before its own.
-A key has one row per generation, so keys that very many places share stay small.
+A key has one row per generation, so keys that very many places share stay small.  An index
+that outgrows its buckets is laid out in more by the merge that fills them.
 
 Merges of one index run one after the other.  Place ids are unique.  Defined results: a place
 without any of the texts has no key; places equal to what the index has are no change; a
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from streetloom.operators import geocode
 from streetloom.session import scratch_folder
-from streetloom.sources import buckets, runs
+from streetloom.sources import buckets
 
 FIELDS = [
     "name", "house_number", "road", "postcode", "locality", "region", "country", "country_code",
@@ -34,7 +35,7 @@ PLACES = ("places", ", ".join(["place_id BIGINT", *[f"{f} STRING" for f in FIELD
 
 
 def create(spark: SparkSession, folder: str, places: DataFrame, files: int = buckets.BUCKETS) -> None:
-    """A new index in a folder not yet in use."""
+    """A new index in a folder not yet in use, of ``files`` buckets or as many as it needs."""
     buckets.lay_out(spark, folder, files)
     merge(spark, folder, places)
 
@@ -89,9 +90,10 @@ def merge(
         best = staged(geocode.place_index(changed), "best")
         if buckets.generations(spark, folder):
             best = _answers(spark, folder, rows, best, staged)
-        buckets.append(spark, folder, *PLACES, rows, gen)
-        buckets.append(spark, folder, *KEYS, best, gen)
-        runs.commit(spark, folder, str(gen))
+        layout = buckets.room(spark, folder, [PLACES, KEYS], max(rows.count(), best.count()))
+        buckets.append(spark, folder, layout, *PLACES, rows, gen)
+        buckets.append(spark, folder, layout, *KEYS, best, gen)
+        buckets.commit(spark, folder, layout, gen)
     return gen
 
 

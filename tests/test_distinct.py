@@ -58,6 +58,33 @@ def test_runs_add_what_is_new(spark, tmp_path, monkeypatch):
     check()
 
 
+def test_buckets_grow_while_another_run_adds(spark, tmp_path, monkeypatch):
+    """Rows that a run adds to the layout it began with count beside those of a wider one, each once."""
+    monkeypatch.setattr(buckets, "BUCKET_ROWS", 50, raising=False)
+    folder, ddl = str(tmp_path / "table"), distinct._ddl(COLUMNS)
+    table = (distinct.NAME, ddl, distinct.KEY)
+    distinct.create(spark, folder, 2)
+    first = [(str(i), None) for i in range(40)]
+    distinct.add(spark, folder, frame(spark, first), COLUMNS)
+    late = frame(spark, [("late", ""), ("0", None)]).select(content_hash(COLUMNS).alias("row_hash"), *COLUMNS)
+    layout, gen = buckets.room(spark, folder, [table], 2), buckets.next_generation(spark, folder)
+    buckets.append(spark, folder, layout, *table, late, gen)
+    many = [(str(i), "x") for i in range(500)]
+    distinct.add(spark, folder, frame(spark, many), COLUMNS)
+    buckets.commit(spark, folder, layout, gen)
+    seen = {*first, *many, ("late", "")}
+    got = list(map(tuple, distinct.read(spark, folder, COLUMNS).collect()))
+    assert len(got) == len(seen) and set(got) == seen
+    rows = buckets.committed(spark, folder, *table)
+    assert rows.count() == len(seen) + 1 and rows.groupBy("gen").count().count() == 3
+    files = rows.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert files <= 75
+    more = [(str(i), "y") for i in range(1000)]  # wide again: all three are copied
+    distinct.add(spark, folder, frame(spark, more + many), COLUMNS)
+    got = list(map(tuple, distinct.read(spark, folder, COLUMNS).collect()))
+    assert len(got) == len(seen) + 1000 and set(got) == seen | set(more)
+
+
 def test_the_table_is_not_shuffled(spark, tmp_path):
     folder = str(tmp_path / "table")
     distinct.create(spark, folder, 4)

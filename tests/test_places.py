@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from streetloom.operators import geocode
 from streetloom.plans import extract, validate
-from streetloom.sources import places, runs
+from streetloom.sources import buckets, places, runs
 from tests.test_archive import Crash, four_archives, listed, place, segment
 from tests.test_jobs import PLACE
 
@@ -98,6 +98,44 @@ def test_a_merge_that_stops_is_not_seen(spark, tmp_path, monkeypatch):
     check(spark, folder, list(({p[0]: p for p in now} | {p[0]: p for p in later}).values()))
 
 
+def test_buckets_grow_with_the_index(spark, tmp_path, monkeypatch):
+    """However many places come at once or later, no task reads many more rows than a bucket may hold."""
+    monkeypatch.setattr(buckets, "BUCKET_ROWS", 200, raising=False)
+    rng = random.Random(8)
+    folder = str(tmp_path / "index")
+
+    def fullest(table):
+        rows = buckets.committed(spark, folder, *table).withColumn("file", F.input_file_name())
+        bucket = F.regexp_extract("file", r"_(\d+)\.c000", 1)
+        return rows.groupBy(bucket).count().agg(F.max("count")).first()[0] or 0
+
+    now = some_places(rng, range(100))
+    places.create(spark, folder, spark.createDataFrame(now, PLACE), 2)
+    check(spark, folder, now)
+    assert fullest(places.KEYS) <= 300
+    for ids in (range(100, 110), range(110, 900), range(850, 950)):
+        changed = some_places(rng, ids)
+        now = list(({p[0]: p for p in now} | {p[0]: p for p in changed}).values())
+        places.merge(spark, folder, spark.createDataFrame(changed, PLACE), spark.createDataFrame([(ids[0] - 1,)], "place_id long"))
+        now = [p for p in now if p[0] != ids[0] - 1]
+        check(spark, folder, now)
+        assert fullest(places.KEYS) <= 300 and fullest(places.PLACES) <= 300
+    assert len(list((tmp_path / "index" / "layout").glob("*.json"))) > 2
+    places.update(spark, folder, spark.createDataFrame(now[:50], PLACE))
+    check(spark, folder, now[:50])
+
+
+def test_keys_are_combined_in_small_tasks(spark):
+    """A task combines the keys of a bounded number of places, however few splits they come in."""
+    table = spark.range(geocode.TASK_PLACES * 3 // 2).coalesce(1).selectExpr(
+        "id as place_id", "concat('Shop ', id) as name", *[f"cast(null as string) as {f}" for f in places.FIELDS[1:3]],
+        "'100' as postcode", *[f"cast(null as string) as {f}" for f in places.FIELDS[4:]],
+    )
+    index = geocode.place_index(table)
+    assert "RoundRobinPartitioning(2)" in index._jdf.queryExecution().executedPlan().toString()
+    assert index.count() == geocode.TASK_PLACES * 3 // 2
+
+
 def test_look_ups_shuffle_no_index(spark, tmp_path):
     """The bucketed tables are read, grouped and joined as they lie."""
     folder = str(tmp_path / "index")
