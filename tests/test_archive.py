@@ -79,6 +79,33 @@ def test_source_reads_a_folder_and_pushes_the_type_filter(spark, folder):
     assert df.where("rec_type = 'request'").count() == 2
 
 
+def test_source_reads_small_files_together(spark, tmp_path):
+    """A folder of many small archives is no task per archive, and a bad one ends no other."""
+    count = 3 * archive.LEAST_TASKS
+    for n in range(count):
+        (tmp_path / str(n % 7)).mkdir(exist_ok=True)
+        text = warc("request", b"GET") + warc("response", http(b"%d" % n, HTML))
+        data = gzip.compress(text)
+        (tmp_path / str(n % 7) / f"{n}.warc.gz").write_bytes(data[: len(data) // 2] if n == 50 else data)
+    archive.register(spark)
+    df = spark.read.format("webarchive").load(str(tmp_path))
+    assert df.rdd.getNumPartitions() <= archive.LEAST_TASKS
+    rows = archive.good_records(df).where("rec_type = 'response'").collect()
+    assert sorted(int(bytes(r["body"])) for r in rows) == [n for n in range(count) if n != 50]
+    assert [r["file_id"] for r in archive.scan_errors(df).collect()] == [str(tmp_path / "1" / "50.warc.gz")]
+
+
+def test_source_gives_large_files_tasks_of_their_own():
+    mb = 1 << 20
+    sizes = {f"big{n}": archive.TASK_BYTES + n for n in range(3)} | {f"small{n:05}": n % mb for n in range(20_000)}
+    groups = archive._grouped(sizes)
+    assert sorted(p for g in groups for p in g) == sorted(sizes)
+    assert [g for g in groups if len(g) == 1] == [["big0"], ["big1"], ["big2"]]
+    assert max(sum(sizes[p] for p in g) for g in groups[3:]) <= archive.TASK_BYTES + mb
+    assert len(groups) < 700
+    assert archive._grouped({"a": 0, "b": 5}) == [["a"], ["b"]] and archive._grouped({}) == []
+
+
 def test_older_format(spark, tmp_path):
     body = http(b"<html>", "Content-Type: text/html")
     info = b"1 0 org\nURL IP\n"
