@@ -193,3 +193,30 @@ def test_validation_looks_nothing_up_twice(spark, tmp_path, monkeypatch):
     rows = validate.read_triples(spark, triples).select("file_id", "segment", "crawl.crawl_metadata.url").collect()
     assert sorted(r["file_id"] for r in rows) == sorted([segment(1)] * 3 + [segment(2)] * 3 + [segment(4)])
     assert {r["segment"] for r in rows} == {"1700.1", "1700.2", "1700.4"}
+
+
+def test_validation_looks_up_in_an_index_that_grew(spark, tmp_path, monkeypatch):
+    """A run after a merge of many places reads more buckets, not fuller ones."""
+    monkeypatch.setattr(buckets, "BUCKET_ROWS", 100, raising=False)
+    good = four_archives(tmp_path)
+    out, index, triples = (str(tmp_path / n) for n in ("out", "index", "triples"))
+    table = [(7, None, "5", "Main St", None, "Town", None, None, None), (8, "Café", None, None, None, None, None, None, None)]
+    places.create(spark, index, spark.createDataFrame(table, PLACE), 2)
+    extract.run(spark, listed(spark, *map(segment, (1, 2, 3))), out, str(tmp_path), 2)
+    validate.run(spark, out, index, triples)
+    many = some_places(random.Random(9), range(100, 600))
+    places.merge(spark, index, spark.createDataFrame(many, PLACE))
+    read = []
+    look_up = geocode.geocode
+
+    def watched(queries, table, keys, *args):
+        read.append(keys.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0])
+        return look_up(queries, table, keys, *args)
+
+    monkeypatch.setattr(validate.geocode, "geocode", watched)
+    place(tmp_path, 2, good)
+    extract.run(spark, listed(spark, segment(2), segment(4)), out, str(tmp_path), 2)
+    validate.run(spark, out, index, triples)
+    assert len(read) == 1 and read[0] <= 150
+    rows = validate.read_triples(spark, triples).select("file_id", F.col("osm.properties.geocoding.street").alias("street"))
+    assert sorted(r["file_id"] for r in rows.collect()) == sorted([segment(1)] * 3 + [segment(2)] * 3 + [segment(4)])
