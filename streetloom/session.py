@@ -92,3 +92,18 @@ def scratch_folder(spark: SparkSession, label: str):
         yield path
     finally:
         drop_path(spark, path)
+
+
+@contextmanager
+def read_by(spark: SparkSession, tasks: int):
+    """Files are read by so many tasks or more, by those of all cores at least; the setting is put back."""
+    key = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, max(tasks, spark.sparkContext.defaultParallelism, int(before or 0)))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)

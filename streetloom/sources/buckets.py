@@ -23,12 +23,12 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetloom.session import exists
+from streetloom.session import exists, read_by
 from streetloom.sources import runs
 
 #: Files that a generation of a small table is shared out over; a multiple of the cores of the cluster is best.
 BUCKETS = 64
-#: Rows that a bucket may hold; beyond that the table gets twice the buckets it needs.
+#: Rows that a bucket may hold; beyond that the table gets three times the buckets it needs.
 BUCKET_ROWS = 1 << 19
 
 
@@ -107,7 +107,9 @@ def _write(
 ) -> None:
     table = _table(spark, folder, layout, name, columns, key)
     rows = rows.repartition(layout.buckets, key)
-    rows.select(*spark.table(table).columns).write.insertInto(table)
+    # a task holds what it deals out to many buckets, so the tasks that read the rows grow in number too
+    with read_by(spark, layout.buckets // 4):
+        rows.select(*spark.table(table).columns).write.insertInto(table)
 
 
 def room(spark: SparkSession, folder: str, tables: list[tuple[str, str, str]], rows: int) -> Layout:
@@ -117,7 +119,7 @@ def room(spark: SparkSession, folder: str, tables: list[tuple[str, str, str]], r
     needed = -(-(held + rows) // BUCKET_ROWS)
     if needed <= now.buckets:
         return now
-    wide = Layout(2 * needed, uuid.uuid4().hex, tuple(generations(spark, folder)))
+    wide = Layout(3 * needed, uuid.uuid4().hex, tuple(generations(spark, folder)))
     if wide.copied:
         for table in tables:
             _write(spark, folder, wide, *table, committed(spark, folder, *table))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from streetloom.operators.tables import content_hash
+from streetloom.session import read_by
 from streetloom.sources import buckets, distinct, runs
 from tests.test_archive import Crash
 
@@ -85,6 +86,25 @@ def test_buckets_grow_while_another_run_adds(spark, tmp_path, monkeypatch):
     assert len(got) == len(seen) + 1000 and set(got) == seen | set(more)
 
 
+def test_many_tasks_read_what_goes_to_many_buckets(spark, tmp_path):
+    """Reading tasks grow in number with the buckets, and the session's setting is put back."""
+    key = "spark.sql.files.minPartitionNum"
+    path = str(tmp_path / "rows")
+    spark.range(1000).repartition(40).write.parquet(path)
+    assert spark.conf.get(key, None) is None
+    with read_by(spark, 30):
+        assert spark.read.parquet(path).rdd.getNumPartitions() >= 20
+    assert spark.conf.get(key, None) is None
+    spark.conf.set(key, "3")
+    try:
+        with pytest.raises(Crash), read_by(spark, 1):
+            assert int(spark.conf.get(key)) == spark.sparkContext.defaultParallelism
+            raise Crash
+        assert spark.conf.get(key) == "3"
+    finally:
+        spark.conf.unset(key)
+
+
 def test_the_table_is_not_shuffled(spark, tmp_path):
     folder = str(tmp_path / "table")
     distinct.create(spark, folder, 4)

@@ -109,18 +109,18 @@ def test_buckets_grow_with_the_index(spark, tmp_path, monkeypatch):
         bucket = F.regexp_extract("file", r"_(\d+)\.c000", 1)
         return rows.groupBy(bucket).count().agg(F.max("count")).first()[0] or 0
 
-    now = some_places(rng, range(100))
+    now = some_places(rng, range(10))
     places.create(spark, folder, spark.createDataFrame(now, PLACE), 2)
     check(spark, folder, now)
     assert fullest(places.KEYS) <= 300
-    for ids in (range(100, 110), range(110, 900), range(850, 950)):
+    for ids in (range(10, 60), range(60, 900), range(850, 950)):
         changed = some_places(rng, ids)
         now = list(({p[0]: p for p in now} | {p[0]: p for p in changed}).values())
         places.merge(spark, folder, spark.createDataFrame(changed, PLACE), spark.createDataFrame([(ids[0] - 1,)], "place_id long"))
         now = [p for p in now if p[0] != ids[0] - 1]
         check(spark, folder, now)
         assert fullest(places.KEYS) <= 300 and fullest(places.PLACES) <= 300
-    assert len(list((tmp_path / "index" / "layout").glob("*.json"))) > 2
+    assert any(layout.copied for layout in buckets._layouts(spark, folder))
     places.update(spark, folder, spark.createDataFrame(now[:50], PLACE))
     check(spark, folder, now[:50])
 
